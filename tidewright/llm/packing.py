@@ -156,9 +156,9 @@ def pack_sequences(docs: DataFrame, tokenizer: str, end_id: int, window: int = W
             return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], schema=schema)
 
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            for doc_id, text, found in zip(ids, texts.to_pylist(), _terms(texts), strict=True):
-                own.append((doc_id, encode(text) + tail))
+            texts = batch.column(1)
+            for doc_id, ids, found in zip(batch.column(0).to_pylist(), encode.many(texts.to_pylist()), _terms(texts), strict=True):
+                own.append((doc_id, ids + tail))
                 terms.append(found)
                 if len(own) == SHARD:
                     yield done()

@@ -10,10 +10,15 @@ from __future__ import annotations
 import re
 from array import array
 
+import numpy as np
+
 from .common import worker_cache
 
 #: Entries of a worker's cache; longer pieces are never kept.
 CACHE_ENTRIES, CACHE_CHARS = 800_000, 48
+#: Texts of about so many characters are encoded together.
+GROUP_CHARS = 1 << 19
+END_MARKS = frozenset(".,")
 _GAP = re.compile(r"(?<=\S)(?= \S)")
 
 
@@ -38,11 +43,27 @@ class Ids:
             state = kept.__dict__[("ids", path)] = (tokenizer, {})
         self.tokenizer, self.cache = state
         self.words_only = words_only
+        self.marks = dict(zip(".,", self.plain([".", ","]), strict=True))
 
     def plain(self, texts: list[str]) -> list[bytes]:
         got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in got]
 
+    def lettered(self, words: list[str]) -> list[bytes]:
+        """plain() for pieces of letters alone (after a blank, where blanks count), many in one text."""
+        out: list[bytes] = []
+        for i in range(0, len(words), 512):
+            part = words[i : i + 512]
+            got = self.tokenizer.encode(" ".join(part) if self.words_only else "".join(part), add_special_tokens=False)
+            owner = np.array(got.word_ids, np.int64)
+            cuts = np.flatnonzero(np.diff(owner, prepend=-1, append=-2)) * 4
+            if len(cuts) != len(part) + 1:  # a letter that the vocabulary's pattern holds for none
+                out += self.plain(part)
+                continue
+            ids, at = array("I", got.ids).tobytes(), cuts.tolist()
+            out += [ids[a:b] for a, b in zip(at, at[1:])]
+        return out
+
     def _pieces(self, text: str) -> list[str]:
         if self.words_only:
             return text.replace("\n", " ").split(" ")
@@ -55,18 +76,46 @@ class Ids:
 
     def __call__(self, text: str | None) -> bytes:
         """The ids of one text; none for a null or empty one."""
-        if not text:
-            return b""
-        pieces, cache = self._pieces(text), self.cache
-        new = list(set(pieces).difference(cache))
-        if not new:
-            return b"".join(map(cache.__getitem__, pieces))
-        if len(cache) + len(new) > CACHE_ENTRIES:
-            cache.clear()
-            new = list(set(pieces))
-        fresh = dict(zip(new, self.plain(new), strict=True))
-        cache.update((k, v) for k, v in fresh.items() if len(k) <= CACHE_CHARS)
-        long = {k: v for k, v in fresh.items() if len(k) > CACHE_CHARS}
-        if not long:
-            return b"".join(map(cache.__getitem__, pieces))
-        return b"".join(long[p] if p in long else cache[p] for p in pieces)
+        return next(iter(self.many([text])))
+
+    def many(self, texts: list[str | None]):
+        """The ids of each text; new pieces of some GROUP_CHARS of text are merged together."""
+        at = 0
+        while at < len(texts):
+            group, chars = [], 0
+            while at < len(texts) and chars < GROUP_CHARS:
+                group.append(self._pieces(texts[at]) if texts[at] else [])
+                chars += len(texts[at] or "")
+                at += 1
+            cache, own = self.cache, set().union(*group)
+            new = own.difference(cache)
+            if len(cache) + len(new) > CACHE_ENTRIES:
+                cache.clear()
+                new = own
+            self._fresh(new)
+            for pieces in group:
+                yield b"".join(map(cache.__getitem__, pieces))
+            for p in [p for p in new if len(p) > CACHE_CHARS]:
+                del cache[p]
+
+    def _fresh(self, pieces: set[str]) -> None:
+        """Puts new pieces into the cache. A full stop or comma after a letter is an id of its own, and
+        capitals don't count where white space doesn't; so most of a new piece is often known."""
+        cache, words_only = self.cache, self.words_only
+        marked = [p for p in pieces if p[-1:] in END_MARKS and p[-2:-1].isalpha() and p[-2] < "\u2000"]
+        bases = [p[:-1] for p in marked]
+        rest = list(pieces.difference(marked))
+        if words_only:
+            bases = [b.lower() if b.isascii() else b for b in bases]
+            lower = [p.lower() if p.isascii() else p for p in rest]
+        else:
+            lower = rest
+        new = set(bases).union(lower).difference(cache)
+        easy = [x for x in new if (x.isalpha() if words_only else x[:1] == " " and x[1:].isalpha())]
+        hard = list(new.difference(easy))
+        cache.update(zip(easy, self.lettered(easy), strict=True))
+        cache.update(zip(hard, self.plain(hard), strict=True))
+        if words_only:
+            cache.update([(p, cache[b]) for p, b in zip(rest, lower, strict=True)])
+        marks = self.marks
+        cache.update([(p, cache[b] + marks[p[-1]]) for p, b in zip(marked, bases, strict=True)])
