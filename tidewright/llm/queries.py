@@ -4,9 +4,11 @@ from .chat import op8_chat_format
 from .mixing import op9_source_mixing
 from .packing import op7_lexical_packing
 from .quality import op1_bradley_terry_quality
+from .simhash import op6_simhash
+from .substring import op10_super_kmer_dedup
 from .token_files import op2_token_files
 from .warc import op4_content_addressed_warc
 from .weak_rules import op3_weak_rules
 
-QUERIES = {f.__name__: f for f in (op1_bradley_terry_quality, op2_token_files, op3_weak_rules, op4_content_addressed_warc, op7_lexical_packing, op8_chat_format, op9_source_mixing)}
+QUERIES = {f.__name__: f for f in (op1_bradley_terry_quality, op2_token_files, op3_weak_rules, op4_content_addressed_warc, op6_simhash, op7_lexical_packing, op8_chat_format, op9_source_mixing, op10_super_kmer_dedup)}
 ORACLES: dict[str, str] = {}

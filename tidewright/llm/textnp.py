@@ -7,7 +7,9 @@ import pyarrow as pa
 
 #: Texts are worked on in pieces of about so many bytes (a longer text is one piece).
 CHUNK = 1 << 20
-_R = 0x9E3779B97F4A7C15 | 1
+_R = 0x9E3779B97F4A7C15
+#: A second base, for hashes that must not meet where the first ones do.
+OTHER = 0xC2B2AE3D27D4EB4F
 _M64 = (1 << 64) - 1
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -24,17 +26,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """r**i and r**-i modulo 2**64 for i < n, kept between calls."""
-    have = getattr(_powers, "kept", None)
+def _powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """base**i and base**-i modulo 2**64 for i < n, kept between calls."""
+    kept = _powers.__dict__.setdefault("kept", {})
+    have = kept.get(base)
     if have is None or len(have[0]) < n:
         size = max(n, CHUNK + 4096)
-        up = np.full(size, _R, np.uint64)
-        down = np.full(size, pow(_R, -1, 1 << 64), np.uint64)
+        up = np.full(size, base, np.uint64)
+        down = np.full(size, pow(base, -1, 1 << 64), np.uint64)
         up[0] = down[0] = 1
         have = (np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64))
         if size <= 8 * CHUNK:
-            _powers.kept = have
+            kept[base] = have
     return have
 
 
@@ -76,20 +79,30 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = _R) -> np.ndarray:
     """A 64-bit hash of each word's bytes; it doesn't depend on where the word stands."""
     n = len(data)
-    up, down = _powers(n + 1)
+    up, down = _powers(n + 1, base)
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1 + 2 * seed)) * up[:n], out=sums[1:])
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def windows(hashes: np.ndarray, size: int) -> np.ndarray:
+def windows(hashes: np.ndarray, size: int, base: int = _R) -> np.ndarray:
     """A 64-bit hash of each run of `size` consecutive hashes."""
-    if len(hashes) < size:
+    n = len(hashes)
+    if n < size:
         return np.zeros(0, np.uint64)
-    out = np.zeros(len(hashes) - size + 1, np.uint64)
-    for j in range(size):
-        out = out * np.uint64(_R) + hashes[j : j + len(out)]
-    return mix(out)
+    up, down = _powers(n + 1, base)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(hashes * up[:n], out=sums[1:])
+    return mix((sums[size:] - sums[: n - size + 1]) * down[: n - size + 1])
+
+
+def sliding_min(x: np.ndarray, size: int) -> np.ndarray:
+    """The least of each run of `size` consecutive numbers."""
+    have, width = x, 1
+    while 2 * width <= size:
+        have, width = np.minimum(have[:-width], have[width:]), 2 * width
+    rest = size - width
+    return np.minimum(have[: len(have) - rest], have[rest:]) if rest else have
