@@ -2,6 +2,7 @@
 
 from .chat import op8_chat_format
 from .mixing import op9_source_mixing
+from .ngram_join import op5_ngram_jaccard
 from .packing import op7_lexical_packing
 from .quality import op1_bradley_terry_quality
 from .simhash import op6_simhash
@@ -10,5 +11,5 @@ from .token_files import op2_token_files
 from .warc import op4_content_addressed_warc
 from .weak_rules import op3_weak_rules
 
-QUERIES = {f.__name__: f for f in (op1_bradley_terry_quality, op2_token_files, op3_weak_rules, op4_content_addressed_warc, op6_simhash, op7_lexical_packing, op8_chat_format, op9_source_mixing, op10_super_kmer_dedup)}
+QUERIES = {f.__name__: f for f in (op1_bradley_terry_quality, op2_token_files, op3_weak_rules, op4_content_addressed_warc, op5_ngram_jaccard, op6_simhash, op7_lexical_packing, op8_chat_format, op9_source_mixing, op10_super_kmer_dedup)}
 ORACLES: dict[str, str] = {}
