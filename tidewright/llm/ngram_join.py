@@ -27,8 +27,8 @@ from .components import connected_components
 from .textnp import LOWER, chunks, mix, windows, word_bounds, word_hashes
 
 WORDS = 4
-#: Two sets link when DEN * intersection >= NUM * union.
-NUM, DEN = 85, 100
+#: Two sets link when 100 * intersection >= 85 * union.
+LIKE = (85, 100)
 #: Bytes of text that an index bucket stands for, and shingles that a task holds before it sends them.
 PER_BUCKET, HELD = 24 << 20, 4 << 20
 #: Shingles of the sets that one task searches; larger blocks are searched by pairs of tiles.
@@ -58,9 +58,9 @@ def set_print(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
-def _required(n):
+def _required(n, like: tuple[int, int]):
     """The least intersection of a set of n with any similar one (its union has n at least)."""
-    return -(-NUM * n // DEN)
+    return -(-like[0] * n // like[1])
 
 
 _POSTED = pa.schema([("bucket", pa.int32()), ("prints", pa.binary()), ("sizes", pa.binary()), ("counts", pa.binary()), ("low", pa.binary()), ("high", pa.binary()), ("df", pa.binary())])
@@ -165,35 +165,40 @@ def _shared(buckets: int):
 _SETS = pa.schema([("name", pa.binary()), ("n", pa.int64()), ("shingles", pa.binary()), ("rarest", pa.list_(pa.int64()))])
 
 
-def _survivors(group: pa.Table) -> pa.Table:
+def _survivors(like: tuple[int, int]):
     """Sets with enough shared shingles for a partner; shingles sorted, and those of the rarest that a partner must touch."""
-    prints, sizes, counts, shingles, df = _gather(group)
-    owner = np.repeat(np.arange(len(counts)), counts)
-    which, one = _numbered(prints)
-    size_of, name_of = sizes[one].astype(np.int64), prints[one]
-    who = which[owner]
-    shared = np.bincount(who, minlength=len(size_of))
-    alive = shared >= _required(size_of)
-    have = alive[who]
-    who, shingles, df = who[have], shingles[have], df[have]
-    order = np.lexsort((shingles, df, who))
-    who, shingles = who[order], shingles[order]
-    cuts = np.searchsorted(who, np.arange(len(size_of) + 1)).tolist()
-    rows = []
-    for i in np.flatnonzero(alive).tolist():
-        own = shingles[cuts[i] : cuts[i + 1]]
-        rarest = own[: int(shared[i] - _required(size_of[i]) + 1)]
-        rows.append((name_of[i].tobytes(), int(size_of[i]), np.sort(own).tobytes(), rarest.astype(np.int64)))
-    return pa.Table.from_arrays([pa.array(x, t.type) for x, t in zip(zip(*rows, strict=True), _SETS, strict=True)], schema=_SETS) if rows else _SETS.empty_table()
-
-
-def search_group(sizes: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
+
+    def work(group: pa.Table) -> pa.Table:
+        prints, sizes, counts, shingles, df = _gather(group)
+        owner = np.repeat(np.arange(len(counts)), counts)
+        which, one = _numbered(prints)
+        size_of, name_of = sizes[one].astype(np.int64), prints[one]
+        who = which[owner]
+        shared = np.bincount(who, minlength=len(size_of))
+        alive = shared >= _required(size_of, like)
+        have = alive[who]
+        who, shingles, df = who[have], shingles[have], df[have]
+        order = np.lexsort((shingles, df, who))
+        who, shingles = who[order], shingles[order]
+        cuts = np.searchsorted(who, np.arange(len(size_of) + 1)).tolist()
+        rows = []
+        for i in np.flatnonzero(alive).tolist():
+            own = shingles[cuts[i] : cuts[i + 1]]
+            rarest = own[: int(shared[i] - _required(size_of[i], like) + 1)]
+            rows.append((name_of[i].tobytes(), int(size_of[i]), np.sort(own).tobytes(), rarest.astype(np.int64)))
+        return pa.Table.from_arrays([pa.array(x, t.type) for x, t in zip(zip(*rows, strict=True), _SETS, strict=True)], schema=_SETS) if rows else _SETS.empty_table()
+
+    return work
+
+
+def search_group(sizes: np.ndarray, sets: list[np.ndarray], like: tuple[int, int] = LIKE) -> np.ndarray:
     """For each set the least index of its component: links within the group, found by DivideSkip.
 
     Sets go by size, each asks those before it that are large enough. Of its lists
     the L longest are left out, L as Li, Lu and Lu (2008) choose it; who occurs in
     T - L of the others is probed in the long ones.
     """
+    num, den = like
     count = len(sets)
     order = np.argsort(sizes, kind="stable")
     rank_size = sizes[order].astype(np.int64)
@@ -207,14 +212,14 @@ def search_group(sizes: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
     group = np.arange(count)
     for q in range(1, count):
         n = int(rank_size[q])
-        low = int(np.searchsorted(rank_size, _required(n)))
+        low = int(np.searchsorted(rank_size, _required(n, like)))
         if low >= q:
             continue
         own = token[bounds[q] : bounds[q + 1]]
         own = own[many[own]]
         begin, end = np.searchsorted(keys, own * count + low), np.searchsorted(keys, own * count + q)
         length = end - begin
-        least = -(-NUM * (n + int(rank_size[low])) // (NUM + DEN))  # T for the smallest partner
+        least = -(-num * (n + int(rank_size[low])) // (num + den))  # T for the smallest partner
         full = np.flatnonzero(length)
         if len(full) < least:
             continue
@@ -235,7 +240,7 @@ def search_group(sizes: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
             probe = (own[long] * count)[:, None] + (some + low)[None, :]
             place = np.minimum(np.searchsorted(keys, probe), len(keys) - 1)
             overlap = merged[some] + (keys[place] == probe).sum(axis=0)
-            linked = (NUM + DEN) * overlap >= NUM * (n + rank_size[some + low])
+            linked = (num + den) * overlap >= num * (n + rank_size[some + low])
             for c in (some[linked] + low).tolist():
                 a, b = group[c], group[q]
                 if a != b:
@@ -247,14 +252,17 @@ def search_group(sizes: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _search(group: pa.Table) -> pa.Table:
-    nodes = group.column("node").to_numpy()
-    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("shingles")]
-    roots = search_group(group.column("n").to_numpy(), sets)
-    return pa.Table.from_arrays([pa.array(nodes, pa.int64()), pa.array(nodes[roots], pa.int64())], ["u", "v"])
+def _search(like: tuple[int, int]):
+    def work(group: pa.Table) -> pa.Table:
+        nodes = group.column("node").to_numpy()
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("shingles")]
+        roots = search_group(group.column("n").to_numpy(), sets, like)
+        return pa.Table.from_arrays([pa.array(nodes, pa.int64()), pa.array(nodes[roots], pa.int64())], ["u", "v"])
+
+    return work
 
 
-def linked_sets(sets: DataFrame, per_group: int = GROUP) -> DataFrame:
+def linked_sets(sets: DataFrame, like: tuple[int, int] = LIKE, per_group: int = GROUP) -> DataFrame:
     """(node, root) of all sets (node, n, shingles, rarest) that have a partner, by blocks of their rarest shared shingles."""
     posted = sets.select("node", F.explode("rarest").alias("shingle"))
     centres = posted.groupBy("shingle").agg(F.min("node").alias("centre"), F.count("*").alias("sets")).where("sets > 1").drop("sets")
@@ -265,17 +273,17 @@ def linked_sets(sets: DataFrame, per_group: int = GROUP) -> DataFrame:
     groups = buckets_for(sizes, F.col("total"), per_group)
     held = held.join(sizes, "root")
     small = held.where(F.col("total") <= per_group).withColumn("g", F.pmod(F.xxhash64("root"), F.lit(groups)))
-    found = small.groupBy("g").applyInArrow(lambda t: _search(t), "u long, v long")
+    found = small.groupBy("g").applyInArrow(_search(like), "u long, v long")
     # A block that no task should hold: every two of its tiles meet in a task of their own.
     tiles = F.ceil(2 * F.col("total") / per_group).cast("int")
     large = held.where(F.col("total") > per_group).withColumn("tiles", tiles).withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
     pairs = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda t: F.struct(F.least(t, F.col("tile")).alias("i"), F.greatest(t, F.col("tile")).alias("j")))
     tiled = large.select("root", "node", "n", "shingles", F.explode(pairs).alias("pair")).select("root", "node", "n", "shingles", "pair.i", "pair.j")
-    edges = cut(found.unionByName(tiled.groupBy("root", "i", "j").applyInArrow(lambda t: _search(t), "u long, v long")).where("u <> v"))
+    edges = cut(found.unionByName(tiled.groupBy("root", "i", "j").applyInArrow(_search(like), "u long, v long")).where("u <> v"))
     return connected_components(edges)
 
 
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS) -> DataFrame:
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS, like: tuple[int, int] = LIKE) -> DataFrame:
     """doc_id, n_shingles, component_id, text_print (xxhash64 of the text) for each row of `docs`.
 
     component_id is the least doc_id reachable by links, the row's own included
@@ -298,10 +306,10 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     posted = rows.select("text").mapInArrow(_send(size, buckets), _POSTED_SQL)
     shared = posted.groupBy("bucket").applyInArrow(_shared(buckets), _POSTED_SQL)
     scratch = Scratch(docs.sparkSession, "sets")
-    sets = scratch.write(shared.groupBy("bucket").applyInArrow(_survivors, "name binary, n long, shingles binary, rarest array<long>"))
+    sets = scratch.write(shared.groupBy("bucket").applyInArrow(_survivors(like), "name binary, n long, shingles binary, rarest array<long>"))
     # A set's node is the first half of its 128-bit name.
     node = F.conv(F.hex(F.substring("name", 1, 8)), 16, -10).cast("long")
-    links = cut(linked_sets(sets.withColumn("node", node)))
+    links = cut(linked_sets(sets.withColumn("node", node), like))
     scratch.drop()
     classes = known.where("n_shingles > 0").groupBy("name").agg(F.min("doc_id").alias("least")).withColumn("node", node)
     classes = classes.join(links, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -311,12 +319,12 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     return known.join(classes, "name", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), "text_print")
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS) -> DataFrame:
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS, like: tuple[int, int] = LIKE) -> DataFrame:
     """`docs` with one document of each component: that of the least id, of rows that repeat it one.
 
     Rows without an id stay where no row with an id is in their component, each different text once.
     """
-    found = similar_documents(docs, id_col, text_col, size).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    found = similar_documents(docs, id_col, text_col, size, like).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     key = lambda c: F.coalesce(c, F.lit((1 << 63) - 1))
     kept = found.groupBy(key(F.col("doc_id")).alias("__id")).agg(F.min("text_print").alias("__print"), F.collect_set(F.when(F.col("doc_id").isNull(), F.col("text_print"))).alias("nulls"))
     kept = kept.select("__id", F.explode(F.when(F.size("nulls") > 0, F.col("nulls")).otherwise(F.array("__print"))).alias("__print"))

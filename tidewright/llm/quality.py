@@ -109,7 +109,7 @@ def fit(x: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nda
 
 def strengths(x: np.ndarray, model) -> np.ndarray:
     w, mean, scale = model
-    return np.clip((np.clip((_spread(x) - mean) / scale, -8, 8) * w).sum(axis=1), -LIMIT, LIMIT)
+    return np.round(np.clip((np.clip((_spread(x) - mean) / scale, -8, 8) * w).sum(axis=1), -LIMIT, LIMIT), 6)
 
 
 def best_quantile(grid: list[tuple[int, int]], own: np.ndarray, good: np.ndarray) -> tuple[float, float]:
@@ -137,16 +137,13 @@ def best_quantile(grid: list[tuple[int, int]], own: np.ndarray, good: np.ndarray
     return float(below / share[-1]), float(edge * GRID)
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_rows: int = FIT_ROWS) -> DataFrame:
-    """doc_id, held_out, score (0 to 1), predicted, strength for each row of `docs`.
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_rows: int = FIT_ROWS) -> tuple[tuple, float, DataFrame]:
+    """(model, threshold, strengths of all rows: doc_id and strength).
 
     The fit reads at most `fit_rows` labelled rows whose crc32(id) mod 3 is not
     1, chosen by hash of the id; everything else covers all rows. The threshold
-    is a quantile of the strengths of all documents. Null texts are empty texts;
-    labels besides 0 and 1 are left out; without labels of both kinds all scores
-    are 0.5. Equal texts have equal scores.
+    is a quantile of the strengths of all documents.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     known = labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int")).where("doc_id IS NOT NULL AND quality IN (0, 1)")
     known = known.groupBy("doc_id").agg(F.max("quality").alias("quality")).where(F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
@@ -166,15 +163,38 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
     def score(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.round(strengths(features(batch.column(1)), model), 6))], ["doc_id", "strength"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(strengths(features(batch.column(1)), model))], ["doc_id", "strength"])
 
     scored = cut(rows.mapInArrow(score, "doc_id long, strength double"))
     grid = sorted((int(r[0]), r[1]) for r in scored.groupBy(F.floor(F.col("strength") / GRID).alias("step")).count().collect())  # 2 * LIMIT / GRID rows at most
-    _, threshold = best_quantile(grid, np.round(strengths(x, model), 6), good)
+    _, threshold = best_quantile(grid, strengths(x, model), good)
+    return model, threshold, scored
+
+
+def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_rows: int = FIT_ROWS) -> DataFrame:
+    """doc_id, held_out, score (0 to 1), predicted, strength for each row of `docs`.
+
+    Null texts are empty texts; labels besides 0 and 1 are left out, of several
+    of one document the best counts; without labels of both kinds all scores are
+    0.5. Equal texts have equal scores; an empty table gives an empty one.
+    """
+    _, threshold, scored = train(docs, labels, id_col, text_col, fit_rows)
     value = 1 / (1 + F.exp(F.lit(threshold) - F.col("strength")))
-    out = scored.select("doc_id", (F.crc32(F.col("doc_id").cast("string")) % 3 == 1).alias("held_out"), value.alias("score"), "strength")
+    out = scored.select("doc_id", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False)).alias("held_out"), value.alias("score"), "strength")
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def good_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_rows: int = FIT_ROWS) -> DataFrame:
+    """The rows of `docs` that quality_scores() predicts to be good; texts are read again rather than shuffled."""
+    model, threshold, _ = train(docs, labels, id_col, text_col, fit_rows)
+    place = docs.columns.index(text_col)
+
+    def keep(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(strengths(features(batch.column(place)), model) >= threshold))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def op1_bradley_terry_quality(spark, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
