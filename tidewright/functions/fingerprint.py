@@ -44,7 +44,7 @@ def _key(key: str) -> Column:
 def _bits(key: str) -> Column:
     """The key's 64 bits as a long; keys of 2**63 and more fold, as xor has no sign."""
     k = _key(key)
-    return F.when(k >= F.lit(1 << 63).cast("decimal(20,0)"), k - F.lit(1 << 64).cast("decimal(20,0)")).otherwise(k).cast("long")
+    return F.when(k >= F.lit(str(1 << 63)).cast("decimal(20,0)"), k - F.lit(str(1 << 64)).cast("decimal(20,0)")).otherwise(k).cast("long")
 
 
 def key_stats(df: DataFrame, key: str) -> DataFrame:
