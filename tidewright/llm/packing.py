@@ -1,8 +1,9 @@
 """Packs documents into sequences by lexical retrieval.
 
-Shards of documents have a BM25 inverted index each. A seed document starts a
-sequence; its best unused neighbours fill what is left of the window, the last
-of them is cut there and its rest seeds the next sequence.
+Shards of documents have a BM25 inverted index each, over token ids, with
+document frequencies of the whole corpus. A seed document starts a sequence; its
+best unused neighbours fill what is left of the window, the last of them is cut
+there and its rest seeds the next sequence.
 """
 
 from __future__ import annotations
@@ -15,75 +16,57 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textnp import chunks, mix, word_bounds, word_hashes
+from .common import Scratch, cut
 from .tokens import Ids
 
 WINDOW = 1024
-#: Words are hashed to so many terms: the bound of the statistics that every task gets.
-TERMS = 1 << 16
 #: Terms of a seed that ask the index, BM25's constants, and documents of a shard.
 ASKED, K1, B, SHARD = 12, 1.2, 0.75, 2048
-
-
-def _terms(texts: pa.Array):
-    """For each row: its distinct terms, their counts, and its number of words."""
-    for _, offsets, data in chunks(texts):
-        starts, ends, first = word_bounds(data, offsets)
-        terms = (mix(word_hashes(data, starts, ends)) >> np.uint64(48)).astype(np.int64)
-        rows = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-        keys, counts = np.unique(rows * TERMS + terms, return_counts=True)
-        cuts = np.searchsorted(keys, np.arange(len(offsets)) * TERMS)
-        keys %= TERMS
-        for i in range(len(offsets) - 1):
-            yield keys[cuts[i] : cuts[i + 1]].astype(np.int32), counts[cuts[i] : cuts[i + 1]].astype(np.float32), int(first[i + 1] - first[i])
-
-
-def corpus_statistics(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, int, float]:
-    """Document frequencies of all TERMS terms, number of documents and mean words, over all rows."""
-
-    def count(batches):
-        df, n, words = np.zeros(TERMS, np.int64), 0, 0
-        for batch in batches:
-            for terms, _, size in _terms(batch.column(0)):
-                df[terms] += 1
-                n, words = n + 1, words + size
-        if n:
-            keys = np.flatnonzero(df)
-            yield pa.RecordBatch.from_arrays([pa.array(np.append(keys, [TERMS, TERMS + 1])), pa.array(np.append(df[keys], [n, words]))], ["term", "n"])
-
-    sums = docs.select(text_col).mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    df, total = np.zeros(TERMS, np.int64), {TERMS: 0, TERMS + 1: 0}
-    for term, n in sums:
-        if term < TERMS:
-            df[term] = n
-        else:
-            total[term] = n
-    return df, total[TERMS], total[TERMS + 1] / max(1, total[TERMS])
+#: Documents whose terms are counted together.
+GROUP = 256
+
+
+def counted(ids: list[np.ndarray], vocabulary: int):
+    """For each document: its distinct ids in order, and their counts."""
+    for at in range(0, len(ids), GROUP):
+        part = ids[at : at + GROUP]
+        sizes = np.array([len(x) for x in part])
+        keys = np.repeat(np.arange(len(part), dtype=np.int64) * vocabulary, sizes) + np.concatenate(part)
+        keys.sort()
+        heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+        counts = np.diff(np.append(heads, len(keys)))
+        keys = keys[heads]
+        cuts = np.searchsorted(keys, np.arange(len(part) + 1) * vocabulary).tolist()
+        keys %= vocabulary
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            yield keys[a:b], counts[a:b]
 
 
 class Index:
-    """BM25 over one shard: postings by term, and the terms of each document that ask."""
-
-    def __init__(self, terms: list, idf: np.ndarray, mean: float):
-        sizes = np.array([x[2] for x in terms], np.float32)
-        owner = np.repeat(np.arange(len(terms)), [len(x[0]) for x in terms])
-        keys = np.concatenate([x[0] for x in terms]) if terms else np.zeros(0, np.int32)
-        tf = np.concatenate([x[1] for x in terms]) if terms else np.zeros(0, np.float32)
+    """BM25 over one shard: postings by token id."""
+
+    def __init__(self, ids: list[np.ndarray], idf: np.ndarray, mean: float):
+        terms = list(counted(ids, len(idf)))
+        sizes = np.array([len(x) for x in ids], np.float32)
+        many = [len(x) for x, _ in terms]
+        owner = np.repeat(np.arange(len(ids), dtype=np.int32), many)
+        keys = np.concatenate([x for x, _ in terms])
+        tf = np.concatenate([n for _, n in terms]).astype(np.float32)
         weight = idf[keys] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * sizes[owner] / max(mean, 1e-9)))
-        order = np.argsort(keys, kind="stable")
-        self.docs, self.weights = owner[order].astype(np.int32), weight[order].astype(np.float64)
-        self.lists = np.searchsorted(keys[order], np.arange(TERMS + 1))
-        self.terms, self.idf, self.n = [x[0] for x in terms], idf, len(terms)
+        order = np.argsort(keys.astype(np.uint16) if len(idf) <= 1 << 16 else keys, kind="stable")
+        self.docs, self.weights = owner[order], weight[order].astype(np.float64)
+        self.lists = np.append(0, np.cumsum(np.bincount(keys, minlength=len(idf))))
+        self.terms, self.idf, self.n = [x for x, _ in terms], idf, len(ids)
 
     def scores(self, doc: int) -> np.ndarray:
         """BM25 of all documents of the shard for the rarest terms of `doc`."""
         own = self.terms[doc]
-        own = own[np.argsort(-self.idf[own], kind="stable")[: 4 * ASKED]]
-        length = self.lists[own + 1] - self.lists[own]
-        own = own[length > 1][:ASKED]  # a term of `doc` alone finds nothing
+        own = own[self.lists[own + 1] - self.lists[own] > 1]  # a term of `doc` alone finds nothing
+        if len(own) > ASKED:
+            own = own[np.argpartition(-self.idf[own], ASKED)[:ASKED]]
         if not len(own):
             return np.zeros(self.n)
-        spans = [slice(self.lists[t], self.lists[t + 1]) for t in own]
+        spans = [slice(a, b) for a, b in zip(self.lists[own].tolist(), self.lists[own + 1].tolist(), strict=True)]
         return np.bincount(np.concatenate([self.docs[s] for s in spans]), np.concatenate([self.weights[s] for s in spans]), self.n)
 
 
@@ -93,18 +76,18 @@ class Packer:
     def __init__(self, window: int, base: int):
         self.window, self.sequence, self.offset = window, base, 0
 
-    def place(self, doc_id, ids: bytes):
+    def place(self, doc_id, ids: np.ndarray):
         """The pieces of one document, from where the last sequence ends."""
-        total, at = len(ids) // 4, 0
+        total, at, data = len(ids), 0, memoryview(ids.astype("<u4")).cast("B")
         while at < total:
             n = min(self.window - self.offset, total - at)
-            yield doc_id, at, n, zlib.crc32(ids[4 * at : 4 * (at + n)]), total, self.sequence, self.offset
+            yield doc_id, at, n, zlib.crc32(data[4 * at : 4 * (at + n)]), total, self.sequence, self.offset
             at, self.offset = at + n, self.offset + n
             if self.offset == self.window:
                 self.sequence, self.offset = self.sequence + 1, 0
 
-    def shard(self, docs: list, terms: list, idf: np.ndarray, mean: float):
-        index, free, nxt = Index(terms, idf, mean), np.ones(len(docs), bool), 0
+    def shard(self, docs: list, idf: np.ndarray, mean: float):
+        index, free, nxt = Index([ids for _, ids in docs], idf, mean), np.ones(len(docs), bool), 0
         seed = None
         while True:
             if seed is None:
@@ -131,42 +114,61 @@ class Packer:
             seed = found if self.offset else None
 
 
-def pack_sequences(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW, words_only: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack_sequences(docs: DataFrame, tokenizer: str, vocabulary: int, end_id: int, window: int = WINDOW, words_only: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every id of every document in one piece of one sequence of `window` ids at most.
 
     Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
     Null and empty texts are the end id alone; repeated rows are documents of
-    their own; no row, no sequence. Each partition of the input makes shards of
-    SHARD documents, so memory is bounded and nothing is shuffled but the term
-    counts; its last sequence alone is shorter than the window.
+    their own; no row, no sequence. Ids are written once, with each task's counts
+    of documents by id; then each partition makes shards of SHARD documents, so
+    memory is bounded and no text is shuffled. A task's last sequence alone is
+    shorter than the window.
     """
-    spark = docs.sparkSession
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    df, n, mean = corpus_statistics(docs)
-    idf = spark.sparkContext.broadcast(np.log1p((n - df + 0.5) / (df + 0.5)).astype(np.float32))  # TERMS numbers
-    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
+    spark, width = docs.sparkSession, "<u2" if vocabulary <= 1 << 16 else "<u4"
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    made = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("df", pa.list_(pa.int64()))])
+
+    def encode(batches):
+        encoder, df, n, total = Ids(tokenizer, words_only), np.zeros(vocabulary, np.int64), 0, 0
+        for batch in batches:
+            ids = [np.append(x, np.uint32(end_id)) for x in encoder.batch(batch.column(1))]
+            for keys, _ in counted(ids, vocabulary):
+                df[keys] += 1
+            n, total = n + len(ids), total + sum(map(len, ids))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.astype(width).tobytes() for x in ids], pa.binary()), pa.nulls(len(ids), made.field("df").type)], schema=made)
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([np.append(df, [n, total])], made.field("df").type)], schema=made)
+
+    scratch = Scratch(spark, "packing")
+    stored = scratch.write(rows.mapInArrow(encode, "doc_id long, ids binary, df array<long>"))
+    sums = stored.where("df IS NOT NULL").select(F.posexplode("df").alias("id", "n")).groupBy("id").agg(F.sum("n").alias("n")).collect()  # vocabulary + 2 rows
+    df = np.zeros(vocabulary + 2, np.int64)
+    for i, n in sums:
+        df[i] = n
+    total, mean = int(df[vocabulary]), float(df[vocabulary + 1]) / max(1, int(df[vocabulary]))
+    df = df[:vocabulary]
+    idf = spark.sparkContext.broadcast(np.log1p((total - df + 0.5) / (df + 0.5)).astype(np.float32))  # a number for each id
+    schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
 
     def pack(batches):
-        encode, tail = Ids(tokenizer, words_only), int(end_id).to_bytes(4, "little")
-        packer = Packer(window, TaskContext.get().partitionId() << 36)
-        own, terms = [], []
+        packer, own = Packer(window, TaskContext.get().partitionId() << 36), []
 
         def done():
-            rows = list(packer.shard(own, terms, idf.value, mean))
-            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], schema=schema)
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*packer.shard(own, idf.value, mean), strict=True)], schema=schema)
 
         for batch in batches:
-            texts = batch.column(1)
-            for doc_id, ids, found in zip(batch.column(0).to_pylist(), encode.many(texts.to_pylist()), _terms(texts), strict=True):
-                own.append((doc_id, ids + tail))
-                terms.append(found)
+            for doc_id, ids in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                own.append((doc_id, np.frombuffer(ids.as_buffer(), width)))
                 if len(own) == SHARD:
                     yield done()
-                    own, terms = [], []
+                    own = []
         if own:
             yield done()
 
-    return docs.mapInArrow(pack, ", ".join(f"{f.name} long" for f in schema))
+    pieces = stored.where("ids IS NOT NULL").select("doc_id", "ids").mapInArrow(pack, ", ".join(f"{f.name} long" for f in schema))
+    pieces = cut(pieces)
+    scratch.drop()
+    return pieces
 
 
 def op7_lexical_packing(spark, sf_dir: str) -> DataFrame:
@@ -174,4 +176,4 @@ def op7_lexical_packing(spark, sf_dir: str) -> DataFrame:
 
     from .common import table
 
-    return pack_sequences(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 0)
+    return pack_sequences(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 50257, 0)

@@ -181,10 +181,10 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, vocabulary:
         encode, out, path = Ids(tokenizer, words_only), None, f"{folder}/shard-{shard:06d}.ids"
         tail = int(end_id).to_bytes(4, "little")
         for batch in batches:
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encode.many(batch.column(1).to_pylist()), strict=True):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encode.batch(batch.column(1)), strict=True):
                 if out is None:
                     out = Writer(path, width)
-                out.add(doc_id, ids + tail)
+                out.add(doc_id, ids.tobytes() + tail)
         if out is not None:
             done = out.close()
             yield pa.RecordBatch.from_pylist([{"shard": shard, "path": path, **done}], schema=pa.schema([("shard", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]))

@@ -7,19 +7,22 @@ pieces, and a piece seen before needs no second merge.
 
 from __future__ import annotations
 
-import re
+import gc
 from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from .common import worker_cache
 
 #: Entries of a worker's cache; longer pieces are never kept.
 CACHE_ENTRIES, CACHE_CHARS = 800_000, 48
-#: Texts of about so many characters are encoded together.
-GROUP_CHARS = 1 << 19
+#: Texts of about so many bytes are encoded together.
+GROUP_BYTES = 8 << 20
 END_MARKS = frozenset(".,")
-_GAP = re.compile(r"(?<=\S)(?= \S)")
+#: Texts with white space besides single blanks and line ends between words; these are encoded whole.
+ODD = "[\\x00\\t\\x0b\\x0c\\r\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]|[ \n][ \n]|^[ \n]|[ \n]$"
 
 
 class Ids:
@@ -40,8 +43,11 @@ class Ids:
 
             tokenizer = Tokenizer.from_file(path)
             tokenizer.encode_special_tokens = True
-            state = kept.__dict__[("ids", path)] = (tokenizer, {})
-        self.tokenizer, self.cache = state
+            edges = np.zeros(tokenizer.get_vocab_size(), bool)
+            for token, i in tokenizer.get_vocab().items():
+                edges[i] = token.endswith("</w>") if words_only else token.startswith("\u0120")
+            state = kept.__dict__[("ids", path)] = (tokenizer, {}, edges)
+        self.tokenizer, self.cache, self.edges = state
         self.words_only = words_only
         self.marks = dict(zip(".,", self.plain([".", ","]), strict=True))
 
@@ -50,53 +56,81 @@ class Ids:
         return [array("I", x.ids).tobytes() for x in got]
 
     def lettered(self, words: list[str]) -> list[bytes]:
-        """plain() for pieces of letters alone (after a blank, where blanks count), many in one text."""
+        """plain() for pieces of letters alone (after a blank, where blanks count), many in one text.
+
+        Each is one word of the vocabulary's pattern, and ids at the edge of a word are known as such.
+        """
         out: list[bytes] = []
-        for i in range(0, len(words), 512):
-            part = words[i : i + 512]
-            got = self.tokenizer.encode(" ".join(part) if self.words_only else "".join(part), add_special_tokens=False)
-            owner = np.array(got.word_ids, np.int64)
-            cuts = np.flatnonzero(np.diff(owner, prepend=-1, append=-2)) * 4
-            if len(cuts) != len(part) + 1:  # a letter that the vocabulary's pattern holds for none
+        parts = [words[i : i + 512] for i in range(0, len(words), 512)]
+        joint = " " if self.words_only else ""
+        for part, got in zip(parts, self.tokenizer.encode_batch_fast([joint.join(p) for p in parts], add_special_tokens=False), strict=True):
+            raw = got.ids
+            edges = np.flatnonzero(self.edges[raw])
+            if len(edges) != len(part):  # a letter that the pattern holds for none
                 out += self.plain(part)
                 continue
-            ids, at = array("I", got.ids).tobytes(), cuts.tolist()
+            ids = array("I", raw).tobytes()
+            at = [0, *((edges + 1) * 4).tolist()] if self.words_only else [*(edges * 4).tolist(), len(ids)]
             out += [ids[a:b] for a, b in zip(at, at[1:])]
         return out
 
-    def _pieces(self, text: str) -> list[str]:
-        if self.words_only:
-            return text.replace("\n", " ").split(" ")
-        words = text.split()
-        gaps = len(words) - 1
-        if "\x00" in text or len(text) != len("".join(words)) + gaps or text.count(" ") + text.count("\n") != gaps:
-            return _GAP.split(text)
-        # Each gap is one blank, which goes with the next word, or one line end, which is an id of its own.
-        return text.replace(" ", "\x00 ").replace("\n", "\x00\n").split("\x00")
-
     def __call__(self, text: str | None) -> bytes:
-        """The ids of one text; none for a null or empty one."""
-        return next(iter(self.many([text])))
-
-    def many(self, texts: list[str | None]):
-        """The ids of each text; new pieces of some GROUP_CHARS of text are merged together."""
-        at = 0
-        while at < len(texts):
-            group, chars = [], 0
-            while at < len(texts) and chars < GROUP_CHARS:
-                group.append(self._pieces(texts[at]) if texts[at] else [])
-                chars += len(texts[at] or "")
-                at += 1
-            cache, own = self.cache, set().union(*group)
-            new = own.difference(cache)
-            if len(cache) + len(new) > CACHE_ENTRIES:
-                cache.clear()
-                new = own
-            self._fresh(new)
-            for pieces in group:
-                yield b"".join(map(cache.__getitem__, pieces))
-            for p in [p for p in new if len(p) > CACHE_CHARS]:
-                del cache[p]
+        """The ids of one text, little-endian; none for a null or empty one."""
+        return next(self.batch(pa.array([text], pa.string()))).tobytes()
+
+    def batch(self, texts: pa.Array):
+        """The ids (unsigned 32-bit) of each text.
+
+        Texts are cut and their pieces counted column-wise; only pieces that differ
+        come to Python, and ids are gathered by piece number.
+        """
+        sizes = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
+        group = np.cumsum(sizes, dtype=np.int64) // GROUP_BYTES
+        cuts = np.append(np.flatnonzero(np.diff(group, prepend=-1)), len(texts)).tolist()
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            yield from self._group(texts.slice(a, b - a).fill_null(""))
+
+    def _group(self, texts: pa.Array):
+        odd = None
+        if self.words_only:
+            texts = pc.replace_substring(texts, "\n", " ")
+            pieces = pc.split_pattern(texts, " ")
+        else:
+            odd = pc.match_substring_regex(texts, ODD)
+            plain = pc.if_else(odd, "", texts) if pc.any(odd).as_py() else texts
+            # Each gap is one blank, which goes with the next word, or one line end, which is an id of its own.
+            pieces = pc.split_pattern(pc.replace_substring(pc.replace_substring(plain, " ", "\x00 "), "\n", "\x00\n"), "\x00")
+        coded = pieces.values.dictionary_encode() if not pieces.offset else pieces.flatten().dictionary_encode()
+        collecting = gc.isenabled()
+        gc.disable()  # a million strings and no cycle among them
+        found = self._lookup(coded.dictionary.to_pylist())
+        if collecting:
+            gc.enable()
+        which = coded.indices.to_numpy()
+        lens = np.fromiter(map(len, found), np.int64, len(found)) >> 2
+        ids, first = np.frombuffer(b"".join(found), "<u4"), np.cumsum(lens) - lens
+        size = lens[which]
+        ends = np.cumsum(size)
+        at = np.repeat(first[which] - (ends - size), size)
+        at += np.arange(len(at))
+        ids = ids[at]
+        bounds = np.append(0, ends)[pieces.offsets.to_numpy() - pieces.offsets[0].as_py()].tolist()
+        odd = odd.to_pylist() if odd is not None else [False] * len(texts)
+        for i, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
+            yield np.frombuffer(self.plain([texts[i].as_py()])[0], "<u4") if odd[i] else ids[a:b]
+
+    def _lookup(self, words: list[str]) -> list[bytes]:
+        """The ids of different pieces, kept from now on."""
+        cache = self.cache
+        new = {w for w in words if w not in cache}
+        if len(cache) + len(new) > CACHE_ENTRIES:
+            cache.clear()
+            new = set(words)
+        self._fresh(new)
+        found = list(map(cache.__getitem__, words))
+        for w in [w for w in new if len(w) > CACHE_CHARS]:
+            del cache[w]
+        return found
 
     def _fresh(self, pieces: set[str]) -> None:
         """Puts new pieces into the cache. A full stop or comma after a letter is an id of its own, and
