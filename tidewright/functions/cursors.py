@@ -104,7 +104,8 @@ def window_sql(table: str, columns: list[str], ts: str, key: str, hwm: Hwm | Non
     t, k = d.name(ts), d.name(key)
     where = f"{t} IS NOT NULL"
     if hwm is not None:
-        at = literal(hwm.updated_at)
+        time = parse_time(hwm.updated_at)
+        at = literal(hwm.updated_at if time is None else time.isoformat(sep=" "))
         where += f" AND (({t} = {at} AND {k} > {hwm.last_id}) OR {t} > {at})"
     if key_cap is not None:
         where += f" AND {k} <= {key_cap}"

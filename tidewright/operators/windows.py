@@ -64,9 +64,13 @@ def spread_ids(df: DataFrame, key: str, n: int = 100) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, key: str, columns: list[str], n: int = 100) -> DataFrame:
-    """The rows of spread_ids(); at most `n` ids, so they are broadcast."""
-    ids = spread_ids(df, key, n)
-    return df.join(F.broadcast(ids), F.col(quoted(key)).cast("long") == F.col("id"), "left_semi").select(*_cols([key, *columns]))
+    """The rows of spread_ids()."""
+    return with_ids(df, key, spread_ids(df, key, n)).select(*_cols([key, *columns]))
+
+
+def with_ids(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """The rows of `df` whose key is among a sample's few ids, which are broadcast."""
+    return df.join(F.broadcast(ids.withColumnRenamed("id", "__id")), F.col(quoted(key)).cast("long") == F.col("__id"), "left_semi")
 
 
 def sample_compare(source: DataFrame, lake: DataFrame, key: str, columns: list[str]) -> DataFrame:

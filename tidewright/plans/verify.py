@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import fingerprint as P
 from ..functions.cursors import Hwm, within
 from ..functions.types import TEXT_TYPES, ColumnInfo, extractable, family_differs, quoted
-from ..operators.windows import latest_per_key, sample_compare, sample_rows, spread_ids
+from ..operators.windows import latest_per_key, sample_compare, sample_rows, spread_ids, with_ids
 from ..sources.catalog import SourceCatalog, greatest_as_text
 from ..sources.lake_table import LakeTable
 from .config import INCREMENTAL, TWO_STREAM, Config
@@ -207,7 +207,6 @@ class Verifier:
         self.say(f"verify {t} census: {differ or 'equal'}")
         plain = [c.name for c in declared if c.name in lake_types and c.name != key and c.data_type in ("smallint", "mediumint", "int", "integer", "bigint", *TEXT_TYPES)]
         if plain:
-            ids = F.broadcast(spread_ids(rows, key, SAMPLE))  # SAMPLE ids at most
-            near = lake.join(ids, F.col(quoted(key)).cast("long") == F.col("id"), "left_semi")
+            near = with_ids(lake, key, spread_ids(rows, key, SAMPLE))
             found = sample_compare(sample_rows(rows, key, plain, SAMPLE), near, key, plain).groupBy("status").count().collect()
             self.say(f"verify {t} sample: {dict(sorted(tuple(r) for r in found))}")
