@@ -83,15 +83,12 @@ LAYOUTS = {
 def canonical_turns(records: DataFrame, record_col: str = "record", layouts: dict | None = None) -> DataFrame:
     """Adds schema_print, layout and turns (array of role and text) to JSON records of any layout.
 
-    A record whose fingerprint no mapping has (nor a null, nor broken JSON) has a null layout and
+    Columns of `records` with one of these names (or `r`) give way. A record whose fingerprint no mapping has (nor a null, nor broken JSON) has a null layout and
     null turns; nothing is dropped. The order of keys never matters, absent keys do.
     """
     layouts = LAYOUTS if layouts is None else layouts
     known = {fingerprint(paths): (name, turns) for name, (paths, turns) in layouts.items()}
-    clash = {"schema_print", "layout", "turns", "r"} & set(records.columns)
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} exist already")
-    rows = records.withColumn("schema_print", F.substring(F.sha2(F.array_join(json_paths(F.col(record_col)), "\n"), 256), 1, 16)).withColumn("r", F.try_parse_json(F.col(record_col)))
+    rows = records.drop(*({"schema_print", "layout", "turns", "r"} - {record_col})).withColumn("schema_print", F.substring(F.sha2(F.array_join(json_paths(F.col(record_col)), "\n"), 256), 1, 16)).withColumn("r", F.try_parse_json(F.col(record_col)))
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
     for key, (name, sql) in known.items():
         layout = F.when(F.col("schema_print") == key, F.lit(name)).otherwise(layout)

@@ -9,7 +9,7 @@ the block numbers, one for each pass over the source; slots meet blocks by numbe
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import SPACE, WORD, cut
@@ -125,11 +125,9 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     facts = spark.createDataFrame([(s, i, sizes[s][0], goal[s], plan[s][0], max(1, -(-sizes[s][1] // LOT))) for i, s in enumerate(order)], "source string, source_no int, source_size long, target double, block_words long, lots long")
     rows = rows.join(F.broadcast(facts), rows["source"].eqNullSafe(facts["source"])).drop(facts["source"])  # a row a source
     rows = rows.withColumn("lot", F.pmod(F.xxhash64("doc_id", "print", F.lit(seed)), F.col("lots")))
-    from pyspark.sql import Window
-
     lots = rows.groupBy("source_no", "lot").agg(F.sum("size").alias("n")).withColumn("base", F.sum("n").over(Window.partitionBy("source_no").orderBy("lot")) - F.col("n")).drop("n")
     inner = Window.partitionBy("source_no", "lot").orderBy("doc_id", "print")
-    rows = rows.withColumn("nth", F.row_number().over(Window.partitionBy("source_no", "lot", "doc_id", "print").orderBy("size")))
+    rows = rows.withColumn("nth", F.row_number().over(Window.partitionBy("doc_id", "print").orderBy("source")))
     rows = rows.withColumn("at", F.sum("size").over(inner.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")).join(lots, ["source_no", "lot"]).withColumn("at", F.col("at") + F.col("base"))
     rows = rows.withColumn("row", F.struct("doc_id", "print", "nth"))
     size, at, words = F.col("size"), F.col("at"), F.col("block_words")
@@ -151,15 +149,13 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     _, pieces = mix_sources(docs, id_col, text_col, source_col, seed)
     passes = pieces.select("row", "start", "length", F.explode(F.sequence(F.lit(1).cast("long"), "times")).alias("pass"))
     passes = passes.groupBy("row", "pass").agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias("spans"), F.sum("length").alias("have"))
-    own = docs.withColumn("__print", F.xxhash64(F.coalesce(text_col, F.lit(""))))
-    from pyspark.sql import Window
-
-    repeated = own.withColumn("__nth", F.row_number().over(Window.partitionBy(F.col(id_col).cast("long"), "__print").orderBy(*[F.col(c) for c, t in docs.dtypes if not t.startswith("map")])))
-    row = passes["row"]
-    joined = repeated.join(passes, F.col(id_col).cast("long").eqNullSafe(row["doc_id"]) & (F.col("__print") == row["print"]) & (F.col("__nth") == row["nth"]))
-    joined = joined.withColumn("__words", F.filter(F.split(text_col, f"{SPACE}+"), lambda w: w != ""))
-    part = F.array_join(F.flatten(F.transform("spans", lambda s: F.slice("__words", (s["start"] + 1).cast("int"), s["length"].cast("int")))), " ")
-    joined = joined.withColumn(text_col, F.when(F.col("have") == F.size("__words"), F.col(text_col)).otherwise(part))
+    # Names of our own, as `docs` may have any others.
+    passes = passes.select(F.coalesce("row.doc_id", F.lit((1 << 63) - 1)).alias("__id"), F.col("row.print").alias("__print"), F.col("row.nth").alias("__nth"), F.col("spans").alias("__spans"), F.col("have").alias("__have"))
+    keyed = docs.withColumn("__id", F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1))).withColumn("__print", F.xxhash64(F.coalesce(text_col, F.lit(""))))
+    keyed = keyed.withColumn("__nth", F.row_number().over(Window.partitionBy("__id", "__print").orderBy(F.col(source_col).cast("string"))))
+    joined = keyed.join(passes, ["__id", "__print", "__nth"]).withColumn("__words", F.filter(F.split(text_col, f"{SPACE}+"), lambda w: w != ""))
+    part = F.array_join(F.flatten(F.transform("__spans", lambda s: F.slice("__words", (s["start"] + 1).cast("int"), s["length"].cast("int")))), " ")
+    joined = joined.withColumn(text_col, F.when(F.col("__have") == F.size("__words"), F.col(text_col)).otherwise(part))
     if chars_col in docs.columns:
         joined = joined.withColumn(chars_col, F.length(text_col).cast(dict(docs.dtypes)[chars_col]))
     return joined.select(*docs.columns)

@@ -210,20 +210,19 @@ def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return spans.groupBy("doc_id", "print").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WINDOW, minimiser: int = MINIMISER) -> DataFrame:
-    """The columns of `docs`, and n_words, n_removed, kept_words: the text without the words of windows that occur earlier.
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WINDOW, minimiser: int = MINIMISER, names: tuple = ("n_words", "n_removed", "kept_words")) -> DataFrame:
+    """The columns of `docs`, and `names`: words, words removed, and the text without the words of windows that occur earlier.
 
     Windows are judged on the input. Null texts have no words; texts of fewer
     words than a window lose none; a repeated row loses what the row it repeats loses.
+    Columns of `docs` that are called as one of `names` give way.
     """
-    clash = {"n_words", "n_removed", "kept_words"} & set(docs.columns)
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} exist already")
+    docs = docs.drop(*(c for c in names if c not in (id_col, text_col)))
     spans = cut(removed_spans(docs, id_col, text_col, size, minimiser))
     keyed = docs.withColumn("__id", F.coalesce(F.col(id_col).cast("long"), F.lit(LAST))).withColumn("__print", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
     met = spans.select(F.col("doc_id").alias("__id"), F.col("print").alias("__print"), F.col("spans").alias("__spans"))
     joined = keyed.join(met, ["__id", "__print"], "left").drop("__id", "__print")
-    out = T.StructType([*joined.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_words", T.StringType())])
+    out = T.StructType([*joined.schema.fields, T.StructField(names[0], T.LongType()), T.StructField(names[1], T.LongType()), T.StructField(names[2], T.StringType())])
     place, marks = joined.columns.index(text_col), joined.columns.index("__spans")
 
     def keep(batches):
@@ -249,7 +248,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     counts.append(b - a)
                     lost.append(gone)
                     kept.append(b" ".join(parts))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts, pa.int64()), pa.array(lost, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], [*batch.schema.names, "n_words", "n_removed", "kept_words"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts, pa.int64()), pa.array(lost, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], [*batch.schema.names, *names])
 
     return joined.mapInArrow(keep, out).drop("__spans")
 
@@ -259,13 +258,13 @@ def deduplicated_documents(docs: DataFrame, id_col: str = "doc_id", text_col: st
 
     A text that loses nothing stays as it is; else it is its words, a blank between.
     """
-    done = without_repeats(docs, id_col, text_col).where("n_removed = 0 OR n_removed < n_words")
-    done = done.withColumn(text_col, F.when(F.col("n_removed") > 0, F.col("kept_words")).otherwise(F.col(text_col)))
+    done = without_repeats(docs, id_col, text_col, names=("__n_words", "__n_removed", "__kept")).where("__n_removed = 0 OR __n_removed < __n_words")
+    lost = F.col("__n_removed") > 0
+    done = done.withColumn(text_col, F.when(lost, F.col("__kept")).otherwise(F.col(text_col)))
     if chars_col in docs.columns:
-        done = done.withColumn(chars_col, F.when(F.col("n_removed") > 0, F.length(text_col).cast(dict(docs.dtypes)[chars_col])).otherwise(F.col(chars_col)))
+        done = done.withColumn(chars_col, F.when(lost, F.length(text_col).cast(dict(docs.dtypes)[chars_col])).otherwise(F.col(chars_col)))
     return done.select(*docs.columns)
 
 
-
 def op10_super_kmer_dedup(spark, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_words", "n_removed", F.sha2("kept_words", 256).alias("kept_sha256"))
