@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import sys
 import types
 import uuid
@@ -60,6 +61,40 @@ def worker_cache() -> types.ModuleType:
     return sys.modules.setdefault("_tidewright_worker_cache", types.ModuleType("_tidewright_worker_cache"))
 
 
+def release() -> None:
+    """Gives memory that is free back to the system: idle workers live on beside the next stage's."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def map_arrow(df: DataFrame, work, schema) -> DataFrame:
+    """df.mapInArrow(work, schema), which leaves little behind in its workers."""
+
+    def run(batches):
+        yield from work(batches)
+        release()
+
+    return df.mapInArrow(run, schema)
+
+
+def group_arrow(grouped, work, schema: str) -> DataFrame:
+    """grouped.applyInArrow(work, schema), which leaves little behind in its workers."""
+
+    def run(group):
+        out = work(group)
+        release()
+        return out
+
+    return grouped.applyInArrow(run, schema)
+
+
 def lake_fs(uri: str):
     """The pyarrow file system of a shared folder's URI, and the path in it."""
     from pyarrow import fs

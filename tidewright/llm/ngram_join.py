@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, buckets_for, cut, table
+from .common import Scratch, buckets_for, cut, group_arrow, map_arrow, table
 from .components import connected_components
 from .textnp import LOWER, chunks, mix, windows, word_bounds, word_hashes
 
@@ -273,13 +273,13 @@ def linked_sets(sets: DataFrame, like: tuple[int, int] = LIKE, per_group: int =
     groups = buckets_for(sizes, F.col("total"), per_group)
     held = held.join(sizes, "root")
     small = held.where(F.col("total") <= per_group).withColumn("g", F.pmod(F.xxhash64("root"), F.lit(groups)))
-    found = small.groupBy("g").applyInArrow(_search(like), "u long, v long")
+    found = group_arrow(small.groupBy("g"), _search(like), "u long, v long")
     # A block that no task should hold: every two of its tiles meet in a task of their own.
     tiles = F.ceil(2 * F.col("total") / per_group).cast("int")
     large = held.where(F.col("total") > per_group).withColumn("tiles", tiles).withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
     pairs = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda t: F.struct(F.least(t, F.col("tile")).alias("i"), F.greatest(t, F.col("tile")).alias("j")))
     tiled = large.select("root", "node", "n", "shingles", F.explode(pairs).alias("pair")).select("root", "node", "n", "shingles", "pair.i", "pair.j")
-    edges = cut(found.unionByName(tiled.groupBy("root", "i", "j").applyInArrow(_search(like), "u long, v long")).where("u <> v"))
+    edges = cut(found.unionByName(group_arrow(tiled.groupBy("root", "i", "j"), _search(like), "u long, v long")).where("u <> v"))
     return connected_components(edges)
 
 
@@ -302,11 +302,11 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 names.append(set_print(shingles) if len(shingles) else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(ns, pa.int64()), pa.array(names, pa.binary())], ["doc_id", "text_print", "n_shingles", "name"])
 
-    known = cut(rows.mapInArrow(describe, "doc_id long, text_print long, n_shingles long, name binary"))
-    posted = rows.select("text").mapInArrow(_send(size, buckets), _POSTED_SQL)
-    shared = posted.groupBy("bucket").applyInArrow(_shared(buckets), _POSTED_SQL)
+    known = cut(map_arrow(rows, describe, "doc_id long, text_print long, n_shingles long, name binary"))
+    posted = map_arrow(rows.select("text"), _send(size, buckets), _POSTED_SQL)
+    shared = group_arrow(posted.groupBy("bucket"), _shared(buckets), _POSTED_SQL)
     scratch = Scratch(docs.sparkSession, "sets")
-    sets = scratch.write(shared.groupBy("bucket").applyInArrow(_survivors(like), "name binary, n long, shingles binary, rarest array<long>"))
+    sets = scratch.write(group_arrow(shared.groupBy("bucket"), _survivors(like), "name binary, n long, shingles binary, rarest array<long>"))
     # A set's node is the first half of its 128-bit name.
     node = F.conv(F.hex(F.substring("name", 1, 8)), 16, -10).cast("long")
     links = cut(linked_sets(sets.withColumn("node", node), like))

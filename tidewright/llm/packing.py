@@ -16,14 +16,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, cut
+from .common import Scratch, cut, map_arrow
 from .tokens import Ids
 
 WINDOW = 1024
 #: Terms of a seed that ask the index, BM25's constants, and documents of a shard.
 ASKED, K1, B, SHARD = 12, 1.2, 0.75, 2048
-#: Documents whose terms are counted together.
-GROUP = 256
+#: Documents whose terms are counted together, and that are encoded before they are handed on.
+GROUP, STEP = 256, 2048
 
 
 def counted(ids: list[np.ndarray], vocabulary: int):
@@ -130,7 +130,7 @@ def pack_sequences(docs: DataFrame, tokenizer: str, vocabulary: int, end_id: int
 
     def encode(batches):
         encoder, df, n, total = Ids(tokenizer, words_only), np.zeros(vocabulary, np.int64), 0, 0
-        for batch in batches:
+        for batch in (b.slice(at, STEP) for b in batches for at in range(0, b.num_rows, STEP)):
             ids = [np.append(x, np.uint32(end_id)) for x in encoder.batch(batch.column(1))]
             for keys, _ in counted(ids, vocabulary):
                 df[keys] += 1
@@ -140,7 +140,7 @@ def pack_sequences(docs: DataFrame, tokenizer: str, vocabulary: int, end_id: int
             yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([np.append(df, [n, total])], made.field("df").type)], schema=made)
 
     scratch = Scratch(spark, "packing")
-    stored = scratch.write(rows.mapInArrow(encode, "doc_id long, ids binary, df array<long>"))
+    stored = scratch.write(map_arrow(rows, encode, "doc_id long, ids binary, df array<long>"))
     sums = stored.where("df IS NOT NULL").select(F.posexplode("df").alias("id", "n")).groupBy("id").agg(F.sum("n").alias("n")).collect()  # vocabulary + 2 rows
     df = np.zeros(vocabulary + 2, np.int64)
     for i, n in sums:
@@ -165,7 +165,7 @@ def pack_sequences(docs: DataFrame, tokenizer: str, vocabulary: int, end_id: int
         if own:
             yield done()
 
-    pieces = stored.where("ids IS NOT NULL").select("doc_id", "ids").mapInArrow(pack, ", ".join(f"{f.name} long" for f in schema))
+    pieces = map_arrow(stored.where("ids IS NOT NULL").select("doc_id", "ids"), pack, ", ".join(f"{f.name} long" for f in schema))
     pieces = cut(pieces)
     scratch.drop()
     return pieces

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, map_arrow, table
 from .textnp import IS_SPACE, chunks, word_bounds, word_hashes
 
 #: Bound of the labelled rows that the fit reads, and partners that each gets.
@@ -155,7 +155,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             x = features(batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), width).cast(pa.list_(pa.float64()))], ["quality", "x"])
 
-    sample = rows.join(F.broadcast(chosen), "doc_id").select("quality", "text").mapInArrow(measure, "quality int, x array<double>").collect()
+    sample = map_arrow(rows.join(F.broadcast(chosen), "doc_id").select("quality", "text"), measure, "quality int, x array<double>").collect()
     sample.sort(key=lambda r: (r.x, r.quality))  # whatever order they came in
     x = np.array([r.x for r in sample]).reshape(len(sample), width)
     good = np.array([r.quality == 1 for r in sample], bool)
@@ -165,7 +165,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(strengths(features(batch.column(1)), model))], ["doc_id", "strength"])
 
-    scored = cut(rows.mapInArrow(score, "doc_id long, strength double"))
+    scored = cut(map_arrow(rows, score, "doc_id long, strength double"))
     grid = sorted((int(r[0]), r[1]) for r in scored.groupBy(F.floor(F.col("strength") / GRID).alias("step")).count().collect())  # 2 * LIMIT / GRID rows at most
     _, threshold = best_quantile(grid, strengths(x, model), good)
     return model, threshold, scored
@@ -193,7 +193,7 @@ def good_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
         for batch in batches:
             yield batch.filter(pa.array(strengths(features(batch.column(place)), model) >= threshold))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return map_arrow(docs, keep, docs.schema)
 
 
 def op1_bradley_terry_quality(spark, sf_dir: str) -> DataFrame:

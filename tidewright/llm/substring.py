@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import buckets_for, cut, table
+from .common import buckets_for, cut, group_arrow, map_arrow, table
 from .textnp import OTHER, chunks, sliding_min, windows, word_bounds, word_hashes
 
 WINDOW, MINIMISER = 20, 3
@@ -205,8 +205,8 @@ def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 yield from sender.sent()
         yield from sender.sent()
 
-    sent = rows.mapInArrow(send, "bucket int, kind int, strings binary, doc_ids binary, prints binary, starts binary, ends binary")
-    spans = sent.groupBy("bucket").applyInArrow(_later_windows(size), "doc_id long, print long, start long, end long")
+    sent = map_arrow(rows, send, "bucket int, kind int, strings binary, doc_ids binary, prints binary, starts binary, ends binary")
+    spans = group_arrow(sent.groupBy("bucket"), _later_windows(size), "doc_id long, print long, start long, end long")
     return spans.groupBy("doc_id", "print").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
 
 
@@ -250,7 +250,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     kept.append(b" ".join(parts))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts, pa.int64()), pa.array(lost, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], [*batch.schema.names, *names])
 
-    return joined.mapInArrow(keep, out).drop("__spans")
+    return map_arrow(joined, keep, out).drop("__spans")
 
 
 def deduplicated_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars") -> DataFrame:

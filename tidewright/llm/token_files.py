@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, lake_fs
+from .common import Scratch, lake_fs, map_arrow
 from .tokens import Ids
 
 MAGIC = b"TWIDS001"
@@ -191,7 +191,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, vocabulary:
 
     ordered = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     # One row a file: the number of files, not of documents, bounds what the driver holds.
-    files = sorted(ordered.mapInArrow(write, schema).collect(), key=lambda r: r.shard)
+    files = sorted(map_arrow(ordered, write, schema).collect(), key=lambda r: r.shard)
     rows, base = [], 0
     for r in files:
         rows.append((r.shard, r.path, r.n_docs, r.n_ids, base))
@@ -212,7 +212,7 @@ def read_token_files(files: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(zip(*rows, strict=True), out, strict=True)], schema=out)
 
     n = max(1, files.count())
-    return files.repartitionByRange(n, "shard").mapInArrow(read, T.StructType([T.StructField(f.name, T.LongType()) for f in out]))
+    return map_arrow(files.repartitionByRange(n, "shard"), read, T.StructType([T.StructField(f.name, T.LongType()) for f in out]))
 
 
 def op2_token_files(spark, sf_dir: str) -> DataFrame:

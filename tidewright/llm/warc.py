@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, lake_fs, table
+from .common import Scratch, lake_fs, map_arrow, table
 
 #: Payloads below so many bytes are never made revisits.
 LEAST_REVISIT = 100
@@ -99,7 +99,7 @@ def records(archive: DataFrame) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-    return archive.mapInArrow(parse, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string")
+    return map_arrow(archive, parse, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string")
 
 
 def export_files(archive: DataFrame, folder: str) -> DataFrame:
@@ -122,7 +122,7 @@ def export_files(archive: DataFrame, folder: str) -> DataFrame:
         fs.move(draft, path)
         yield pa.RecordBatch.from_pylist([{"path": path, "n_records": n}])
 
-    return archive.select("header", "payload").mapInArrow(write, "path string, n_records long")
+    return map_arrow(archive.select("header", "payload"), write, "path string, n_records long")
 
 
 def read_file(uri: str):
