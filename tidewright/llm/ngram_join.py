@@ -101,7 +101,7 @@ def _send(size: int, buckets: int):
             counts = np.array([len(x) for x in held[1]], np.int64)
             every = np.concatenate(held[1])
             owner = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
-            bucket = ((every >> np.uint64(48)) * np.uint64(buckets) >> np.uint64(16)).astype(np.uint16 if buckets <= 65535 else np.int64)
+            bucket = ((every >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.uint16 if buckets <= 65535 else np.int64)
             order = np.argsort(bucket, kind="stable")
             bucket, every, owner = bucket[order], every[order] & _LOW, owner[order]
             cuts = np.append(np.flatnonzero(np.diff(bucket.astype(np.int64), prepend=-1)), len(bucket)).tolist()
