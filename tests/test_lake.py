@@ -73,6 +73,25 @@ def test_marks_look_back_so_far(spark, lake):
     assert lake.marks() == Marks(None, 9)
 
 
+def test_a_long_log_is_summed_up(spark, tmp_path, monkeypatch):
+    from tidewright.sources.lake_log import CommitLog
+
+    monkeypatch.setattr(CommitLog, "SUMMARY_EVERY", 3)
+    lake = LakeTable(spark, str(tmp_path / "t"))
+    for i in range(7):
+        lake.append(rows(spark, [(i, "x", None)]).coalesce(1))
+    assert lake.replace(rows(spark, [(50, "x", None)])) and lake.replace(rows(spark, []).limit(0)) is None
+    fresh, read = LakeTable(spark, lake.path), []
+    plain = fresh.log.actions
+    monkeypatch.setattr(fresh.log, "actions", lambda v: read.append(v) or plain(v))
+    assert ids(fresh.read()) == [50] and min(read) > 3 and ids(fresh.read(2)) == [0, 1]
+    before = len(read)
+    fresh.snapshot()
+    assert len(read) == before  # nothing new, nothing read
+    lake.append(rows(spark, [(51, "x", None)]))
+    assert ids(fresh.read()) == [50, 51]
+
+
 def test_two_writers_of_one_version(spark, lake):
     lake.append(rows(spark, [(1, "a", None)]))
     v = lake.snapshot().version

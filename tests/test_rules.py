@@ -173,6 +173,12 @@ def test_config_per_table():
     assert c.modes == {"a": "incremental"} and c.initial_hwm == {"a": ("2024-01-01 00:00:00", 7)} and c.two_stream("b") == ("id", "u") and c.reconcile == {"b"} and c.update_strategy == "merge"
 
 
+def test_env_file(tmp_path):
+    (tmp_path / "e").write_text("# a comment\nTABLES='x,y'\nexport TARGET_MEMORY_MB = 9\nbroken\n")
+    assert C.with_env_file({"TABLES": "z"}, str(tmp_path / "e")) == {"TABLES": "z", "TARGET_MEMORY_MB": "9"}
+    assert C.with_env_file({}, str(tmp_path / "none")) == {}
+
+
 def test_inspection():
     cols = [ID, Y.ColumnInfo("a", "datetime", "", False), Y.ColumnInfo("b", "datetime", "", True)]
     report = I.evaluate("t", cols, [*PK, Y.IndexInfo("i", False, ("x", "a"))], "b")

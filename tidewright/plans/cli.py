@@ -114,14 +114,14 @@ def vacuum(spark: SparkSession, config: C.Config, only: str, apply: bool, hours:
 
 
 def main(argv: list[str] | None = None, env=None, spark: SparkSession | None = None) -> int:
-    args = parser().parse_args(argv)
+    args, env = parser().parse_args(argv), C.with_env_file(env)
     logging.basicConfig(level=logging.INFO if args.progress else logging.WARNING)
     new = lambda: spark or SparkSession.builder.appName("tidewright").getOrCreate()
     try:
         if args.inspect:
             source = catalog(new(), C.load_inspect(env))
             columns, indexes = source.columns(args.inspect), source.indexes(args.inspect)
-            print(I.render(args.inspect, I.evaluate(args.inspect, columns, indexes, (env or {}).get(f"TABLE_TIMESTAMP_{args.inspect}"))))
+            print(I.render(args.inspect, I.evaluate(args.inspect, columns, indexes, env.get(f"TABLE_TIMESTAMP_{args.inspect}"))))
             return 0
         config = C.load(env, args.local)
     except Exception as e:

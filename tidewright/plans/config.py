@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import logging
 import os
 import re
@@ -187,6 +188,17 @@ def load(env: Mapping[str, str] | None = None, local: str | None = None, memory_
     return c
 
 
+def with_env_file(env: Mapping[str, str] | None = None, path: str = ".env") -> dict[str, str]:
+    """The environment over what a file of NAME=value lines says; no file, no harm."""
+    found: dict[str, str] = {}
+    with contextlib.suppress(FileNotFoundError), open(path) as f:
+        for line in f:
+            name, mark, value = line.strip().removeprefix("export ").partition("=")
+            if mark and not name.startswith("#"):
+                found[name.strip()] = value.strip().strip("\"'")
+    return found | dict(os.environ if env is None else env)
+
+
 def load_inspect(env: Mapping[str, str] | None = None) -> str:
     """All that an inspection needs: the source's URL."""
     return _needed(os.environ if env is None else env, "DATABASE_URL")

@@ -24,7 +24,6 @@ from .lake_log import CommitConflict, CommitLog, Snapshot, TableMissing, metadat
 
 #: Commits that are searched for watermarks, and hours that vacuum keeps removed files at least.
 LOOKBACK, RETENTION_HOURS = 64, 168
-#: Matched keys of an upsert whose files are looked up; the figures are bounded by the number of files.
 UPDATED, LAST_ID, INSERT_ID, RESET = "hwm_updated_at", "hwm_last_id", "hwm_insert_id", "hwm_reset"
 
 __all__ = ["CommitConflict", "LakeTable", "Marks", "StagedOverwrite", "TableMissing", "VacuumReport"]
@@ -139,6 +138,11 @@ class LakeTable:
         """A session whose chunks take the table's place by one commit, with `schema` for its own."""
         return StagedOverwrite(self, _nullable(schema))
 
+    def replace(self, df: DataFrame, marks: Marks | None = None) -> int | None:
+        """`df` in the place of all rows, in one commit; no rows, no commit."""
+        with self.overwrite(df.schema) as session:
+            return session.commit(marks) if session.stage(df) else None
+
     def commit_marks(self, marks: Marks) -> int:
         """A commit of watermarks alone."""
         return self.log.commit(self.snapshot().version + 1, [], "HWM", marks.info())
