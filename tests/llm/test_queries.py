@@ -1,7 +1,10 @@
 """The registered queries over the small tables, and the pipeline against its stages by hand."""
 
 import collections
+import glob
+import os
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -21,6 +24,18 @@ def test_a_row_for_each_document(spark, sf_dir, name):
     assert sorted(r[0] for r in queries.QUERIES[name](spark, sf_dir).select("doc_id").collect()) == ids
 
 
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_against_sql(spark, sf_dir, name):
+    con = duckdb.connect()
+    for path in glob.glob(f"{sf_dir}/*.parquet"):
+        con.execute(f"CREATE VIEW {os.path.basename(path)[:-8]} AS SELECT * FROM '{path}'")
+    df = queries.QUERIES[name](spark, sf_dir)
+    cur = con.execute(queries.ORACLES[name])
+    said = [d[0] for d in cur.description]
+    assert sorted(said) == sorted(df.columns)
+    assert sorted((tuple(r) for r in df.select(*said).collect()), key=str) == sorted(cur.fetchall(), key=str)
+
+
 def test_stages(spark, sf_dir, tmp_path):
     from tidewright.llm.quality import quality_scores
 
