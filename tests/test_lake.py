@@ -332,7 +332,7 @@ def test_command_line(spark, tmp_path, capsys):
     rows(spark, DAY).withColumnRenamed("at", "updated_at").write.parquet(str(tmp_path / "src/t.parquet"))
     env = {"DATABASE_URL": f"parquet:{tmp_path}/src", "TABLES": "t", "TARGET_MEMORY_MB": "64", "TABLE_MODE_t": "full_refresh"}
     go = lambda *a: cli.main([*a, "--local", str(tmp_path / "lake")], env, spark)
-    assert go("--check") == 0
+    assert go("--check") == 0 and not LakeTable(spark, str(tmp_path / "lake/t")).exists()
     cfg = C.load(env, str(tmp_path / "lake"))
     state = cli.State(str(tmp_path / "state.json"))
     assert cli.run(spark, cli.catalog(spark, cfg.database_url), cfg, state) == 0 and state.tables["t"]["last_run_rows"] == 12

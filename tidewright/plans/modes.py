@@ -206,8 +206,8 @@ def run_reconcile(job: Job, insert: str, update: str) -> int:
     return run_full_refresh(job, Hwm(at, MAX_LONG), insert)
 
 
-def prepare(spark: SparkSession, source: SourceCatalog, config: Config, table: str, stop=lambda: False, windowed: bool = True) -> tuple[Job, str, str]:
-    """(job, cursor, mode) of a table: its columns, mode, window, and its lake table, made if there is none."""
+def prepare(spark: SparkSession, source: SourceCatalog, config: Config, table: str, stop=lambda: False, windowed: bool = True, make: bool = True) -> tuple[Job, str, str]:
+    """(job, cursor, mode) of a table: its columns, mode, window, and its lake table, with `make` made if there is none."""
     columns = extractable(source.columns(table))
     indexes = source.indexes(table)
     ts, mode = resolve(columns, indexes, config, table)
@@ -220,7 +220,8 @@ def prepare(spark: SparkSession, source: SourceCatalog, config: Config, table: s
     if have is not None and mode in (INCREMENTAL, TWO_STREAM) and table not in config.reconcile:
         selected = evolved_columns(columns, have)
     job = Job(spark, source, lake, config, table, columns, indexes, selected, rows, stop)
-    lake.ensure(job.schema())
+    if make:
+        lake.ensure(job.schema())
     return job, ts, mode
 
 

@@ -11,7 +11,8 @@ from ..functions.cursors import Hwm
 from ..functions.types import ColumnInfo, IndexInfo
 from ..sources.catalog import SourceCatalog
 from ..sources.lake_log import Files
-from .config import AUTO, FULL_REFRESH, INCREMENTAL, TWO_STREAM, Config
+from ..sources.lake_table import Marks
+from .config import AUTO, INCREMENTAL, TWO_STREAM, Config
 from .decisions import integer_key
 from .modes import prepare
 
@@ -49,14 +50,14 @@ def shown_hwm(mode: str, update: Hwm | None, insert: int | None) -> str:
 
 
 def check(spark: SparkSession, source: SourceCatalog, config: Config, say: Callable[[str], None] = print) -> int:
-    """Says a line for each table; returns how many failed. Nothing but missing tables is made."""
+    """Says a line for each table; returns how many failed. No table is made."""
     check_writable(spark, config.root)
     say(f"{'TABLE':<30} {'MODE':<15} {'COLUMNS':<10} {'AVG_ROW_LEN':<15} {'KEY':<20} HWM")
     failed = 0
     for table in config.tables:
         try:
-            job, ts, mode = prepare(spark, source, config, table)
-            marks, size = job.lake.marks(), source.average_row_bytes(table)
+            job, ts, mode = prepare(spark, source, config, table, make=False)
+            marks, size = job.lake.marks() if job.lake.exists() else Marks(), source.average_row_bytes(table)
             say(f"{table:<30} {mode:<15} {len(job.columns):<10} {size or 'N/A':<15} {key_reason(job.columns, job.indexes, config, table, ts, mode):<20} {shown_hwm(mode, marks.update, marks.insert)}")
         except Exception as e:
             failed += 1
@@ -64,4 +65,4 @@ def check(spark: SparkSession, source: SourceCatalog, config: Config, say: Calla
     return failed
 
 
-__all__ = ["FULL_REFRESH", "check", "check_writable", "key_reason", "shown_hwm"]
+__all__ = ["check", "check_writable", "key_reason", "shown_hwm"]
