@@ -32,7 +32,7 @@ LIKE = (85, 100)
 #: Bytes of text that an index bucket stands for, and shingles that a task holds before it sends them.
 PER_BUCKET, HELD = 24 << 20, 4 << 20
 #: Shingles of the sets that one task searches; larger blocks are searched by pairs of tiles.
-GROUP = 6_000_000
+GROUP = 1_000_000
 #: DivideSkip's weight of list length in the number of long lists.
 MU = 0.01
 _LOW = np.uint64((1 << 48) - 1)
