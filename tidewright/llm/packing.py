@@ -31,13 +31,14 @@ def counted(ids: list[np.ndarray], vocabulary: int):
     for at in range(0, len(ids), GROUP):
         part = ids[at : at + GROUP]
         sizes = np.array([len(x) for x in part])
-        keys = np.repeat(np.arange(len(part), dtype=np.int64) * vocabulary, sizes) + np.concatenate(part)
+        kind = np.uint32 if len(part) * vocabulary < 1 << 32 else np.uint64
+        keys = np.repeat(np.arange(len(part), dtype=kind) * kind(vocabulary), sizes) + np.concatenate(part).astype(kind)
         keys.sort()
         heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
         counts = np.diff(np.append(heads, len(keys)))
         keys = keys[heads]
-        cuts = np.searchsorted(keys, np.arange(len(part) + 1) * vocabulary).tolist()
-        keys %= vocabulary
+        cuts = np.searchsorted(keys, np.arange(len(part), dtype=kind) * kind(vocabulary)).tolist() + [len(keys)]
+        keys = (keys % kind(vocabulary)).astype(np.int64)
         for a, b in zip(cuts, cuts[1:], strict=False):
             yield keys[a:b], counts[a:b]
 

@@ -8,6 +8,7 @@ pieces, and a piece seen before needs no second merge.
 from __future__ import annotations
 
 import gc
+import re
 from array import array
 
 import numpy as np
@@ -20,7 +21,9 @@ from .common import worker_cache
 CACHE_ENTRIES, CACHE_CHARS = 800_000, 48
 #: Texts of about so many bytes are encoded together.
 GROUP_BYTES = 8 << 20
-END_MARKS = frozenset(".,")
+#: Letters (after a blank or line end), and a run of marks to the piece's end; an apostrophe may begin an ending.
+TAIL = re.compile(r"([ \n]?[^\W\d_]+)([!-&(-/:-@\[-`{-~]+)\Z")
+BLANKS = frozenset(" \n")
 #: Texts with white space besides single blanks and line ends between words; these are encoded whole.
 ODD = "[\\x00\\t\\x0b\\x0c\\r\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]|[ \n][ \n]|^[ \n]|[ \n]$"
 
@@ -45,11 +48,10 @@ class Ids:
             tokenizer.encode_special_tokens = True
             edges = np.zeros(tokenizer.get_vocab_size(), bool)
             for token, i in tokenizer.get_vocab().items():
-                edges[i] = token.endswith("</w>") if words_only else token.startswith("\u0120")
+                edges[i] = token.endswith("</w>") if words_only else token.startswith(("\u0120", "\u010a"))
             state = kept.__dict__[("ids", path)] = (tokenizer, {}, edges)
         self.tokenizer, self.cache, self.edges = state
         self.words_only = words_only
-        self.marks = dict(zip(".,", self.plain([".", ","]), strict=True))
 
     def plain(self, texts: list[str]) -> list[bytes]:
         got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -133,23 +135,22 @@ class Ids:
         return found
 
     def _fresh(self, pieces: set[str]) -> None:
-        """Puts new pieces into the cache. A full stop or comma after a letter is an id of its own, and
+        """Puts new pieces into the cache. Marks after a letter are a word of their own, and
         capitals don't count where white space doesn't; so most of a new piece is often known."""
         cache, words_only = self.cache, self.words_only
-        marked = [p for p in pieces if p[-1:] in END_MARKS and p[-2:-1].isalpha() and p[-2] < "\u2000"]
-        bases = [p[:-1] for p in marked]
-        rest = list(pieces.difference(marked))
+        split = [(p, m[1], m[2]) for p in pieces if not p[-1:].isalpha() and (m := TAIL.match(p))]
+        rest = list(pieces.difference([p for p, _, _ in split]))
+        bases = [b for _, b, _ in split]
         if words_only:
             bases = [b.lower() if b.isascii() else b for b in bases]
             lower = [p.lower() if p.isascii() else p for p in rest]
         else:
             lower = rest
-        new = set(bases).union(lower).difference(cache)
-        easy = [x for x in new if (x.isalpha() if words_only else x[:1] == " " and x[1:].isalpha())]
+        new = set(bases).union(lower, [t for _, _, t in split]).difference(cache)
+        easy = [x for x in new if (x.isalpha() if words_only else x[:1] in BLANKS and x[1:].isalpha())]
         hard = list(new.difference(easy))
         cache.update(zip(easy, self.lettered(easy), strict=True))
         cache.update(zip(hard, self.plain(hard), strict=True))
         if words_only:
             cache.update([(p, cache[b]) for p, b in zip(rest, lower, strict=True)])
-        marks = self.marks
-        cache.update([(p, cache[b] + marks[p[-1]]) for p, b in zip(marked, bases, strict=True)])
+        cache.update([(p, cache[b] + cache[t]) for (p, _, t), b in zip(split, bases, strict=True)])
