@@ -24,7 +24,7 @@ from .textnp import OTHER, chunks, sliding_min, windows, word_bounds, word_hashe
 
 WINDOW, MINIMISER = 20, 3
 #: Bytes of text that one bucket stands for, and bytes of strings that a task holds before it sends them.
-PER_BUCKET, HELD = 12 << 20, 48 << 20
+PER_BUCKET, HELD = 8 << 20, 32 << 20
 #: Stands for a null document id: after all others.
 LAST = (1 << 63) - 1
 
