@@ -33,6 +33,8 @@ LIKE = (85, 100)
 PER_BUCKET, HELD = 24 << 20, 4 << 20
 #: Shingles of the sets that one task searches; larger blocks are searched by pairs of tiles.
 GROUP = 1_000_000
+#: Sets that a set asks before the others of its block.
+NEAREST = 64
 #: DivideSkip's weight of list length in the number of long lists.
 MU = 0.01
 _LOW = np.uint64((1 << 48) - 1)
@@ -191,17 +193,19 @@ def _survivors(like: tuple[int, int]):
     return work
 
 
-def search_group(sizes: np.ndarray, sets: list[np.ndarray], like: tuple[int, int] = LIKE) -> np.ndarray:
-    """For each set the least index of its component: links within the group, found by DivideSkip.
+def search_group(sizes: np.ndarray, sets: list[np.ndarray], like: tuple[int, int] = LIKE, blocks: np.ndarray | None = None) -> np.ndarray:
+    """For each set the least index of its component: links within its block, found by DivideSkip.
 
-    Sets go by size, each asks those before it that are large enough. Of its lists
-    the L longest are left out, L as Li, Lu and Lu (2008) choose it; who occurs in
-    T - L of the others is probed in the long ones.
+    Sets go by size, each asks those before it that are large enough: first the
+    nearest ones, then, unless all others already are in its component, the rest.
+    Of its lists the L longest are left out, L as Li, Lu and Lu (2008) choose it;
+    who occurs in T - L of the others is probed in the long ones.
     """
     num, den = like
     count = len(sets)
-    order = np.argsort(sizes, kind="stable")
-    rank_size = sizes[order].astype(np.int64)
+    blocks = np.zeros(count, np.int64) if blocks is None else blocks
+    order = np.lexsort((sizes, blocks))
+    size, block = sizes[order].astype(np.int64), blocks[order]
     owner = np.repeat(np.arange(count), [len(sets[i]) for i in order])
     every = np.concatenate([sets[i] for i in order]) if count else np.zeros(0, np.uint64)
     values, token = np.unique(every, return_inverse=True)
@@ -209,42 +213,51 @@ def search_group(sizes: np.ndarray, sets: list[np.ndarray], like: tuple[int, int
     many = np.bincount(token, minlength=len(values)) > 1
     keys = np.sort((token * count + owner)[many[token]])  # the inverted lists, one after the other
     bounds = np.searchsorted(owner, np.arange(count + 1))
+    starts = np.searchsorted(block, block)
     group = np.arange(count)
-    for q in range(1, count):
-        n = int(rank_size[q])
-        low = int(np.searchsorted(rank_size, _required(n, like)))
-        if low >= q:
-            continue
-        own = token[bounds[q] : bounds[q + 1]]
-        own = own[many[own]]
-        begin, end = np.searchsorted(keys, own * count + low), np.searchsorted(keys, own * count + q)
+
+    def search(q: int, own: np.ndarray, low: int, high: int) -> None:
+        """Joins q with the components of all sets of [low, high) that are like it."""
+        begin, end = np.searchsorted(keys, own + low), np.searchsorted(keys, own + high)
         length = end - begin
-        least = -(-num * (n + int(rank_size[low])) // (num + den))  # T for the smallest partner
+        least = -(-num * int(size[q] + size[low]) // (num + den))  # T for the smallest partner
         full = np.flatnonzero(length)
         if len(full) < least:
-            continue
+            return
         full = full[np.argsort(length[full], kind="stable")]
         longest = int(length[full[-1]])
         skip = min(least - 1, int(least / (MU * np.log2(max(longest, 2)) + 1)), len(full) - 1)
         short, long = full[: len(full) - skip], full[len(full) - skip :]
         lens = length[short]
         at = np.repeat(begin[short] - (np.cumsum(lens) - lens), lens) + np.arange(int(lens.sum()))
-        merged = np.bincount(keys[at] % count - low, minlength=q - low)
+        merged = np.bincount(keys[at] % count - low, minlength=high - low)
         found = np.flatnonzero(merged >= least - skip)
         found = found[np.argsort(-merged[found], kind="stable")]
         while len(found):
             found = found[group[found + low] != group[q]]
             some, found = found[:8], found[8:]
             if not len(some):
-                break
-            probe = (own[long] * count)[:, None] + (some + low)[None, :]
+                return
+            probe = own[long][:, None] + (some + low)[None, :]
             place = np.minimum(np.searchsorted(keys, probe), len(keys) - 1)
             overlap = merged[some] + (keys[place] == probe).sum(axis=0)
-            linked = (num + den) * overlap >= num * (n + rank_size[some + low])
+            linked = (num + den) * overlap >= num * (size[q] + size[some + low])
             for c in (some[linked] + low).tolist():
-                a, b = group[c], group[q]
-                if a != b:
-                    group[group == max(a, b)] = min(a, b)
+                x, y = group[c], group[q]
+                if x != y:
+                    group[group == max(x, y)] = min(x, y)
+
+    for q in range(1, count):
+        first = int(starts[q])
+        low = first + int(np.searchsorted(size[first:q], _required(int(size[q]), like)))
+        if low >= q:
+            continue
+        own = token[bounds[q] : bounds[q + 1]]
+        own = own[many[own]] * count
+        near = max(low, q - NEAREST)
+        search(q, own, near, q)
+        if low < near and (group[low:near] != group[q]).any():
+            search(q, own, low, near)
     out = np.empty(count, np.int64)
     least_of = np.full(count, count, np.int64)
     np.minimum.at(least_of, group, order)
@@ -256,7 +269,7 @@ def _search(like: tuple[int, int]):
     def work(group: pa.Table) -> pa.Table:
         nodes = group.column("node").to_numpy()
         sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("shingles")]
-        roots = search_group(group.column("n").to_numpy(), sets, like)
+        roots = search_group(group.column("n").to_numpy(), sets, like, group.column("root").to_numpy())
         return pa.Table.from_arrays([pa.array(nodes, pa.int64()), pa.array(nodes[roots], pa.int64())], ["u", "v"])
 
     return work
