@@ -74,10 +74,19 @@ def release() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
-def map_arrow(df: DataFrame, work, schema) -> DataFrame:
-    """df.mapInArrow(work, schema), which leaves little behind in its workers."""
+def forget() -> None:
+    """Drops what an earlier stage has kept in this worker."""
+    kept = worker_cache().__dict__
+    for key in [k for k in kept if isinstance(k, tuple)]:
+        del kept[key]
+
+
+def map_arrow(df: DataFrame, work, schema, keeps: bool = False) -> DataFrame:
+    """df.mapInArrow(work, schema), which leaves little behind in its workers; with `keeps` the worker's cache lives on to the next task."""
 
     def run(batches):
+        if not keeps:
+            forget()
         yield from work(batches)
         release()
 
@@ -88,6 +97,7 @@ def group_arrow(grouped, work, schema: str) -> DataFrame:
     """grouped.applyInArrow(work, schema), which leaves little behind in its workers."""
 
     def run(group):
+        forget()
         out = work(group)
         release()
         return out

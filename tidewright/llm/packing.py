@@ -23,7 +23,7 @@ WINDOW = 1024
 #: Terms of a seed that ask the index, BM25's constants, and documents of a shard.
 ASKED, K1, B, SHARD = 12, 1.2, 0.75, 2048
 #: Documents whose terms are counted together, and that are encoded before they are handed on.
-GROUP, STEP = 256, 2048
+GROUP, STEP = 256, 1024
 
 
 def counted(ids: list[np.ndarray], vocabulary: int):
@@ -141,7 +141,7 @@ def pack_sequences(docs: DataFrame, tokenizer: str, vocabulary: int, end_id: int
             yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([np.append(df, [n, total])], made.field("df").type)], schema=made)
 
     scratch = Scratch(spark, "packing")
-    stored = scratch.write(map_arrow(rows, encode, "doc_id long, ids binary, df array<long>"))
+    stored = scratch.write(map_arrow(rows, encode, "doc_id long, ids binary, df array<long>", keeps=True))
     sums = stored.where("df IS NOT NULL").select(F.posexplode("df").alias("id", "n")).groupBy("id").agg(F.sum("n").alias("n")).collect()  # vocabulary + 2 rows
     df = np.zeros(vocabulary + 2, np.int64)
     for i, n in sums:

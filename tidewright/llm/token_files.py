@@ -191,7 +191,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, vocabulary:
 
     ordered = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     # One row a file: the number of files, not of documents, bounds what the driver holds.
-    files = sorted(map_arrow(ordered, write, schema).collect(), key=lambda r: r.shard)
+    files = sorted(map_arrow(ordered, write, schema, keeps=True).collect(), key=lambda r: r.shard)
     rows, base = [], 0
     for r in files:
         rows.append((r.shard, r.path, r.n_docs, r.n_ids, base))
