@@ -136,6 +136,32 @@ def test_neighbours_fill_the_window():
     assert [r[0] for r in rows][:2] == [0, 2] and rows[0][5] == rows[1][5] == 0
 
 
+@pytest.mark.parametrize(("rows", "postings"), [(1024, 1 << 20), (7, 50), (0, 1 << 20)])
+def test_all_ids_of_a_seed_ask(rows, postings, monkeypatch):
+    monkeypatch.setattr(packing, "ROWS", rows, raising=False)
+    monkeypatch.setattr(packing, "POSTINGS", postings, raising=False)
+    rng = np.random.default_rng(8)
+    # Document 1 shares 12 rarer ids with document 0, document 2 shares 60 others; 40 more have ids of both.
+    ids = [np.arange(80), np.arange(12), np.arange(12, 72), *(rng.choice(200, rng.integers(20, 90)) for _ in range(40)), np.array([300])]
+    ids = [x.astype(np.uint32) for x in ids]
+    sets = [dict(zip(*np.unique(x, return_counts=True), strict=True)) for x in ids]
+    df = np.bincount([k for s in sets for k in s], minlength=400)
+    df[:12] -= 3
+    idf, mean = np.log1p((len(ids) - df + 0.5) / (df + 0.5)).astype(np.float32), sum(map(len, ids)) / len(ids)
+    index = packing.Index(ids, idf, mean)
+    for d in range(len(ids)):
+        want = [sum(float(idf[k]) * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * len(ids[c]) / mean)) for k, n in sets[c].items() if k in sets[d]) for c in range(len(ids))]
+        got = index.scores(d)
+        if len(ids[d]) == 1:
+            assert not got.any()
+            continue
+        others = np.arange(len(ids)) != d
+        assert np.allclose(got[others], np.array(want)[others], rtol=1e-5)
+    packer = packing.Packer(140, 0)
+    placed = [r[0] for r in packer.shard(list(enumerate(ids[:3])), idf, mean)]
+    assert placed[:2] == [0, 2]
+
+
 # --- quality ---
 
 

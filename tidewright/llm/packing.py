@@ -20,8 +20,10 @@ from .common import Scratch, cut, map_arrow
 from .tokens import Ids
 
 WINDOW = 1024
-#: Terms of a seed that ask the index, BM25's constants, and documents of a shard.
-ASKED, K1, B, SHARD = 12, 1.2, 0.75, 2048
+#: BM25's constants, and documents of a shard.
+K1, B, SHARD = 1.2, 0.75, 2048
+#: Ids that are rows of a matrix at most, the part of the shard such an id is in at least, and postings added up at once.
+ROWS, PART, POSTINGS = 1024, 16, 1 << 20
 #: Documents whose terms are counted together, and that are encoded before they are handed on.
 GROUP, STEP = 256, 1024
 
@@ -44,7 +46,7 @@ def counted(ids: list[np.ndarray], vocabulary: int):
 
 
 class Index:
-    """BM25 over one shard: postings by token id."""
+    """BM25 over one shard: the commonest ids as a matrix whose product has their part of all scores, postings by token id for the others."""
 
     def __init__(self, ids: list[np.ndarray], idf: np.ndarray, mean: float):
         terms = list(counted(ids, len(idf)))
@@ -54,21 +56,34 @@ class Index:
         keys = np.concatenate([x for x, _ in terms])
         tf = np.concatenate([n for _, n in terms]).astype(np.float32)
         weight = idf[keys] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * sizes[owner] / max(mean, 1e-9)))
+        lens = np.bincount(keys, minlength=len(idf))
+        common = np.argsort(-lens, kind="stable")[:ROWS]
+        common = common[lens[common] > max(1, len(ids) // PART)]
+        row = np.full(len(idf), -1)
+        row[common] = np.arange(len(common))
+        at = row[keys]
+        dense, rare = at >= 0, (at < 0) & (lens[keys] > 1)  # an id of one document alone finds nothing
+        has, weights = np.zeros((len(ids), len(common))), np.zeros((len(common), len(ids)))
+        has[owner[dense], at[dense]] = 1
+        weights[at[dense], owner[dense]] = weight[dense]
+        self.common = has @ weights
+        cuts = np.cumsum(np.bincount(owner[rare], minlength=len(ids)))[:-1]
+        owner, keys, weight = owner[rare], keys[rare], weight[rare]
+        self.rare = np.split(keys, cuts)
         order = np.argsort(keys.astype(np.uint16) if len(idf) <= 1 << 16 else keys, kind="stable")
         self.docs, self.weights = owner[order], weight[order].astype(np.float64)
         self.lists = np.append(0, np.cumsum(np.bincount(keys, minlength=len(idf))))
-        self.terms, self.idf, self.n = [x for x, _ in terms], idf, len(ids)
+        self.n = len(ids)
 
     def scores(self, doc: int) -> np.ndarray:
-        """BM25 of all documents of the shard for the rarest terms of `doc`."""
-        own = self.terms[doc]
-        own = own[self.lists[own + 1] - self.lists[own] > 1]  # a term of `doc` alone finds nothing
-        if len(own) > ASKED:
-            own = own[np.argpartition(-self.idf[own], ASKED)[:ASKED]]
-        if not len(own):
-            return np.zeros(self.n)
-        spans = [slice(a, b) for a, b in zip(self.lists[own].tolist(), self.lists[own + 1].tolist(), strict=True)]
-        return np.bincount(np.concatenate([self.docs[s] for s in spans]), np.concatenate([self.weights[s] for s in spans]), self.n)
+        """BM25 of all documents of the shard for all distinct ids of `doc` that another one has."""
+        out, own = self.common[doc].copy(), self.rare[doc]
+        begin, lens = self.lists[own], self.lists[own + 1] - self.lists[own]
+        for part in np.array_split(np.arange(len(own)), 1 + int(lens.sum()) // POSTINGS) if len(own) else ():
+            n = lens[part]
+            at = np.repeat(begin[part] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            out += np.bincount(self.docs[at], self.weights[at], self.n)
+        return out
 
 
 class Packer:
