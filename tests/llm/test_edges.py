@@ -325,6 +325,21 @@ def test_one_of_each(docs, texts):
     assert got == sorted({i for i, _ in texts if component[i] == i}, key=str)
 
 
+def test_one_of_each_component_not_id(spark):
+    own = base(5, np.random.default_rng(11))
+    near = lambda i: own[i].replace("river", "brook")
+    groups = [
+        [(5, own[0]), (5, near(0)), (6, own[0])], [(5, own[1])],  # one id, two texts that are not alike
+        [(None, own[2]), (None, near(2)), (None, own[2])], [(None, own[3])],  # near copies without an id
+        [(4, own[4]), (5, near(4)), (None, near(4))], [(7, ""), (7, "")], [(None, ""), (None, None)],
+    ]
+    frame = spark.createDataFrame([r for g in groups for r in g], "doc_id long, text string").repartition(3)
+    got = [(r.doc_id, r.text) for r in ngram_join.one_of_each(frame).collect()]
+    least = lambda g: min((i for i, _ in g if i is not None), default=None)
+    assert len(got) == len(groups)
+    assert all(sum((i, t) in [x for x in g if x[0] == least(g)] for i, t in got) == 1 for g in groups)
+
+
 def removed(data, size=20):
     order = sorted(range(len(data)), key=lambda k: (data[k][0] is None, data[k][0] or 0))
     first, out = {}, []

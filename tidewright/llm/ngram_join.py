@@ -297,11 +297,12 @@ def linked_sets(sets: DataFrame, like: tuple[int, int] = LIKE, per_group: int =
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS, like: tuple[int, int] = LIKE) -> DataFrame:
-    """doc_id, n_shingles, component_id, text_print (xxhash64 of the text) for each row of `docs`.
+    """doc_id, n_shingles, component_id, text_print (xxhash64 of the text), part for each row of `docs`.
 
     component_id is the least doc_id reachable by links, the row's own included
-    (nulls count as larger than all). Texts without words have 0 shingles and link
-    with nothing; repeated rows have equal sets and are linked; an empty table gives an empty one.
+    (nulls count as larger than all); part names the component whatever the ids
+    are. Texts without words have 0 shingles, no part, and link with nothing; repeated
+    rows have equal sets and are linked; an empty table gives an empty one.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.withColumn("text_print", F.xxhash64("text"))
@@ -328,22 +329,24 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     classes = classes.join(links, "node", "left").withColumn("root", F.coalesce("root", "node"))
     # Only sets with a partner need their component's least document looked up.
     best = classes.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("least").alias("component"))
-    classes = classes.join(best, "root").select("name", "component")
-    return known.join(classes, "name", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), "text_print")
+    classes = classes.join(best, "root").select("name", "component", F.col("root").alias("part"))
+    return known.join(classes, "name", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), "text_print", "part")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS, like: tuple[int, int] = LIKE) -> DataFrame:
-    """`docs` with one document of each component: that of the least id, of rows that repeat it one.
+    """`docs` with one document of each component: that of the least id, of equal ids the least text_print.
 
-    Rows without an id stay where no row with an id is in their component, each different text once.
+    Rows without an id count as larger than all. An id with texts of several components can stay for each
+    of them; texts without words stay once for each id, also for none.
     """
     found = similar_documents(docs, id_col, text_col, size, like).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     key = lambda c: F.coalesce(c, F.lit((1 << 63) - 1))
-    kept = found.groupBy(key(F.col("doc_id")).alias("__id")).agg(F.min("text_print").alias("__print"), F.collect_set(F.when(F.col("doc_id").isNull(), F.col("text_print"))).alias("nulls"))
-    kept = kept.select("__id", F.explode(F.when(F.size("nulls") > 0, F.col("nulls")).otherwise(F.array("__print"))).alias("__print"))
+    alone = [F.when(F.col("part").isNull(), F.col(c)).alias(f"__{c}") for c in ("doc_id", "text_print")]
+    # Rows of a part that are left have one id, the least, or none.
+    kept = found.groupBy("part", *alone).agg(F.min("doc_id").alias("least"), F.min("text_print").alias("__print")).select(key(F.col("least")).alias("__id"), "__print")
     keyed = docs.withColumn("__id", key(F.col(id_col).cast("long"))).withColumn("__print", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
     return keyed.join(kept, ["__id", "__print"], "left_semi").dropDuplicates(["__id", "__print"]).select(*docs.columns)
 
 
 def op5_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
-    return similar_documents(table(spark, sf_dir, "documents")).drop("text_print")
+    return similar_documents(table(spark, sf_dir, "documents")).drop("text_print", "part")
