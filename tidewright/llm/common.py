@@ -10,7 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Used only where the session names no spark.checkpoint.dir (tests, one machine).
+#: Used only where the session names no spark.checkpoint.dir and all runs in one process (tests, one machine).
 OWN_CHECKPOINTS = "/tmp/checkpoints"
 
 #: White space of the word rule [^\x20\x09-\x0D]+ , as a Java character class.
@@ -19,8 +19,11 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, else one of our own."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or OWN_CHECKPOINTS).rstrip("/")
+    """The folder all executors share: spark.checkpoint.dir; on one machine, else one of our own."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return (named or OWN_CHECKPOINTS).rstrip("/")
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -52,6 +55,17 @@ class Scratch:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def own_names(columns, *names: str) -> list[str]:
+    """`names`, lengthened where `columns` has such a one already (in any case)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

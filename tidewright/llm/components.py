@@ -2,10 +2,45 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, map_arrow
+
+#: Edges that a task contracts together.
+HELD = 1 << 20
+
+
+def stars(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, least node of its component) of these edges alone, for nodes that are not the least."""
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = at[: len(u)], at[len(u) :]
+    label = np.arange(len(nodes))
+    while True:
+        least, new = np.minimum(label[a], label[b]), label.copy()
+        for side in (a, b, label[a], label[b]):
+            np.minimum.at(new, side, least)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    moved = np.flatnonzero(label != np.arange(len(nodes)))
+    return nodes[moved], nodes[label[moved]]
+
+
+def _contracted(batches):
+    """Each task's edges as stars: no more than its nodes, and no longer chains than tasks make together."""
+    held, size = [], 0
+    for batch in batches:
+        held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+        size += batch.num_rows
+        if size > HELD:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in stars(*map(np.concatenate, zip(*held, strict=True)))], ["u", "v"])
+            held, size = [], 0
+    if size:
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in stars(*map(np.concatenate, zip(*held, strict=True)))], ["u", "v"])
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -20,7 +55,7 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     checkpoint, and their number grows with the logarithm of the graph. Loops,
     repeated edges and either direction do no harm; nulls are left out; no edges, no rows.
     """
-    now = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    now = map_arrow(edges.where("u <> v").select(F.col("u").cast("long"), F.col("v").cast("long")), _contracted, "u long, v long").distinct()
     now, before = cut(now), None
     mark = _mark(now)
     for _ in range(rounds):

@@ -5,8 +5,12 @@ dealt by shingle, tells every shingle that two sets share; a set that shares too
 few can have no partner. Of what is left, each set's rarest shared shingles (as
 many as leave less than the required overlap) tie sets into blocks: two similar
 sets share one of these, so no link leaves a block. In a block, the inverted
-lists of a set are searched for sets that occur in T of them: the short lists are merged, the
-long ones are probed by binary search for what the merge has found often enough.
+lists of a set are searched for sets that occur in T of them: the short lists are merged (by a heap;
+as sorted runs, where there are many postings), the long ones are probed by binary search for what the
+merge has found often enough.
+
+A shingle that a large share of all sets have would be one task's bucket. Such
+shingles are counted beforehand and go straight to their sets, with that count.
 
 Groups of similar sets are never expanded into all pairs: a candidate that
 already is in the set's component is not probed, and what is returned is a
@@ -16,14 +20,16 @@ component for each document.
 from __future__ import annotations
 
 import hashlib
+import heapq
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, buckets_for, cut, group_arrow, map_arrow, table
+from .common import Scratch, buckets_for, cut, group_arrow, map_arrow, own_names, table
 from .components import connected_components
+from .frequent import Frequent, frequent
 from .textnp import LOWER, chunks, mix, windows, word_bounds, word_hashes
 
 WORDS = 4
@@ -37,7 +43,10 @@ GROUP = 1_000_000
 NEAREST = 64
 #: DivideSkip's weight of list length in the number of long lists.
 MU = 0.01
-_LOW = np.uint64((1 << 48) - 1)
+#: Postings that a heap merges; more are merged as sorted runs.
+HEAP = 256
+#: Keys that a block above GROUP is joined with its size by.
+SALTS = 64
 
 
 def shingle_sets(texts: pa.Array, size: int):
@@ -65,21 +74,37 @@ def _required(n, like: tuple[int, int]):
     return -(-like[0] * n // like[1])
 
 
-_POSTED = pa.schema([("bucket", pa.int32()), ("prints", pa.binary()), ("sizes", pa.binary()), ("counts", pa.binary()), ("low", pa.binary()), ("high", pa.binary()), ("df", pa.binary())])
-_POSTED_SQL = "bucket int, prints binary, sizes binary, counts binary, low binary, high binary, df binary"
+_POSTED = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("prints", pa.binary()), ("sizes", pa.binary()), ("counts", pa.binary()), ("shingles", pa.binary()), ("df", pa.binary())])
+_POSTED_SQL = "bucket int, kind int, prints binary, sizes binary, counts binary, shingles binary, df binary"
+#: Kinds of postings: dealt by shingle, and dealt by set.
+BY_SHINGLE, BY_SET = 0, 1
+
 
+def _posted(bucket: int, kind: int, prints: np.ndarray, sizes: np.ndarray, counts: np.ndarray, shingles: np.ndarray, df: np.ndarray | None) -> pa.RecordBatch:
+    """Postings of some sets: prints, set sizes, numbers of shingles here, the shingles, how many sets have them."""
+    raw = (prints.tobytes(), sizes.astype("<u4").tobytes(), counts.astype("<u4").tobytes(), shingles.astype("<u8").tobytes(), b"" if df is None else np.minimum(df, 0xFFFFFFFF).astype("<u4").tobytes())
+    return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([kind], pa.int32()), *(pa.array([x], pa.binary()) for x in raw)], schema=_POSTED)
 
-def _posted(bucket: int, prints: np.ndarray, sizes: np.ndarray, counts: np.ndarray, shingles: np.ndarray, df: np.ndarray | None) -> pa.RecordBatch:
-    """Postings of some sets: prints, set sizes, numbers of shingles here, the shingles' 48 low bits, how many sets have them."""
-    raw = (prints.tobytes(), sizes.astype("<u4").tobytes(), counts.astype("<u4").tobytes(), (shingles & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(), (shingles >> np.uint64(32)).astype("<u2").tobytes(), b"" if df is None else np.minimum(df, 65535).astype("<u2").tobytes())
-    return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), *(pa.array([x], pa.binary()) for x in raw)], schema=_POSTED)
+
+def _dealt(bucket: np.ndarray, kind: int, owner: np.ndarray, prints: np.ndarray, sizes: np.ndarray, shingles: np.ndarray, df: np.ndarray | None):
+    """Postings (a shingle of the set `owner`) by bucket; those of one set stay together."""
+    order = np.lexsort((owner, bucket))
+    bucket, owner, shingles, df = bucket[order], owner[order], shingles[order], None if df is None else df[order]
+    cuts = np.append(np.flatnonzero(np.diff(bucket.astype(np.int64), prepend=-1)), len(bucket)).tolist()
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        heads = np.flatnonzero(np.diff(owner[a:b], prepend=-1))
+        who = owner[a:b][heads]
+        yield _posted(int(bucket[a]), kind, prints[who], sizes[who], np.diff(np.append(heads, b - a)), shingles[a:b], None if df is None else df[a:b])
 
 
 def _gather(group: pa.Table):
-    """What the rows of one bucket hold: prints (n, 2), sizes, counts, shingles (48 bits), df."""
+    """What the rows of one bucket hold: prints (n, 2), sizes, counts, shingles, df."""
     read = lambda name, kind: np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in group.column(name)])
-    shingles = read("low", "<u4").astype(np.uint64) | (read("high", "<u2").astype(np.uint64) << np.uint64(32))
-    return read("prints", "<u8").reshape(-1, 2), read("sizes", "<u4"), read("counts", "<u4").astype(np.int64), shingles, read("df", "<u2")
+    return read("prints", "<u8").reshape(-1, 2), read("sizes", "<u4"), read("counts", "<u4").astype(np.int64), read("shingles", "<u8"), read("df", "<u4")
+
+
+def _set_bucket(prints: np.ndarray, buckets: int) -> np.ndarray:
+    return (prints[:, 0] % np.uint64(buckets)).astype(np.int64)
 
 
 def _numbered(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -92,9 +117,9 @@ def _numbered(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return which, order[new]
 
 
-def _send(size: int, buckets: int):
+def _send(size: int, buckets: int, common: Frequent):
     def work(batches):
-        seen, held = set(), [[], [], []]
+        seen, held = set(), [[], []]
 
         def sent():
             if not held[0]:
@@ -103,16 +128,14 @@ def _send(size: int, buckets: int):
             counts = np.array([len(x) for x in held[1]], np.int64)
             every = np.concatenate(held[1])
             owner = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
-            bucket = ((every >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.uint16 if buckets <= 65535 else np.int64)
-            order = np.argsort(bucket, kind="stable")
-            bucket, every, owner = bucket[order], every[order] & _LOW, owner[order]
-            cuts = np.append(np.flatnonzero(np.diff(bucket.astype(np.int64), prepend=-1)), len(bucket)).tolist()
-            for a, b in zip(cuts, cuts[1:], strict=False):
-                heads = np.flatnonzero(np.diff(owner[a:b], prepend=-1))
-                who = owner[a:b][heads]
-                yield _posted(int(bucket[a]), prints[who], counts[who], np.diff(np.append(heads, b - a)), every[a:b], None)
             for x in held:
                 x.clear()
+            df = common.number(every)
+            hot = df > 0
+            yield from _dealt(_set_bucket(prints, buckets)[owner[hot]], BY_SET, owner[hot], prints, counts, every[hot], df[hot])
+            every, owner = every[~hot], owner[~hot]
+            bucket = ((every >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.uint16 if buckets <= 65535 else np.int64)
+            yield from _dealt(bucket, BY_SHINGLE, owner, prints, counts, every, None)
 
         total = 0
         for batch in batches:
@@ -135,9 +158,11 @@ def _send(size: int, buckets: int):
 
 
 def _shared(buckets: int):
-    """Of one bucket of shingles: the postings of those that two sets have, dealt by set."""
+    """Of one bucket of shingles: the postings of those that two sets have, dealt by set. What is dealt by set goes through."""
 
     def work(group: pa.Table) -> pa.Table:
+        if group.column("kind")[0].as_py() == BY_SET:
+            return group
         prints, sizes, counts, shingles, _ = _gather(group)
         keep = np.zeros(len(prints), bool)
         keep[_numbered(prints)[1]] = True  # a set sent by several tasks counts once
@@ -149,16 +174,8 @@ def _shared(buckets: int):
         heads = np.flatnonzero(np.append(True, shingles[1:] != shingles[:-1])) if len(shingles) else np.zeros(0, np.int64)
         df = np.repeat(np.diff(np.append(heads, len(shingles))), np.diff(np.append(heads, len(shingles))))
         shared = df > 1
-        shingles, owner, df = shingles[shared], owner[shared], df[shared]
-        to = (prints[owner, 0] % np.uint64(buckets)).astype(np.int64)
-        order = np.lexsort((owner, to))
-        shingles, owner, df, to = shingles[order], owner[order], df[order], to[order]
-        cuts = np.append(np.flatnonzero(np.diff(to, prepend=-1)), len(to)).tolist()
-        out = []
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            heads = np.flatnonzero(np.diff(owner[a:b], prepend=-1))
-            who = owner[a:b][heads]
-            out.append(_posted(int(to[a]), prints[who], sizes[who], np.diff(np.append(heads, b - a)), shingles[a:b], df[a:b]))
+        owner = owner[shared]
+        out = _dealt(_set_bucket(prints, buckets)[owner], BY_SET, owner, prints, sizes, shingles[shared], df[shared])
         return pa.Table.from_batches(out, schema=_POSTED)
 
     return work
@@ -174,6 +191,11 @@ def _survivors(like: tuple[int, int]):
         prints, sizes, counts, shingles, df = _gather(group)
         owner = np.repeat(np.arange(len(counts)), counts)
         which, one = _numbered(prints)
+        # A frequent shingle of a set that several tasks have sent is here as often.
+        order = np.lexsort((shingles, which[owner]))
+        again = np.zeros(len(order), bool)
+        again[order[1:]] = (shingles[order[1:]] == shingles[order[:-1]]) & (which[owner[order[1:]]] == which[owner[order[:-1]]])
+        owner, shingles, df = owner[~again], shingles[~again], df[~again]
         size_of, name_of = sizes[one].astype(np.int64), prints[one]
         who = which[owner]
         shared = np.bincount(who, minlength=len(size_of))
@@ -216,6 +238,29 @@ def search_group(sizes: np.ndarray, sets: list[np.ndarray], like: tuple[int, int
     starts = np.searchsorted(block, block)
     group = np.arange(count)
 
+    def merged(begin: np.ndarray, lens: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """The sets that are in `least` of the lists, and in how many; most often found first."""
+        total = int(lens.sum())
+        if total <= HEAP:
+            lists = [(keys[b : b + n] % count).tolist() for b, n in zip(begin.tolist(), lens.tolist(), strict=True)]
+            who, often, last = [], [], -1
+            for x in heapq.merge(*lists):
+                if x != last:
+                    who.append(x)
+                    often.append(0)
+                    last = x
+                often[-1] += 1
+            found, times = np.array(who, np.int64), np.array(often, np.int64)
+        else:
+            at = np.repeat(begin - (np.cumsum(lens) - lens), lens) + np.arange(total)
+            run = np.sort(keys[at] % count, kind="stable")  # a merge of sorted runs
+            heads = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
+            found, times = run[heads], np.diff(np.append(heads, total))
+        enough = times >= least
+        found, times = found[enough], times[enough]
+        order = np.argsort(-times, kind="stable")
+        return found[order], times[order]
+
     def search(q: int, own: np.ndarray, low: int, high: int) -> None:
         """Joins q with the components of all sets of [low, high) that are like it."""
         begin, end = np.searchsorted(keys, own + low), np.searchsorted(keys, own + high)
@@ -228,21 +273,18 @@ def search_group(sizes: np.ndarray, sets: list[np.ndarray], like: tuple[int, int
         longest = int(length[full[-1]])
         skip = min(least - 1, int(least / (MU * np.log2(max(longest, 2)) + 1)), len(full) - 1)
         short, long = full[: len(full) - skip], full[len(full) - skip :]
-        lens = length[short]
-        at = np.repeat(begin[short] - (np.cumsum(lens) - lens), lens) + np.arange(int(lens.sum()))
-        merged = np.bincount(keys[at] % count - low, minlength=high - low)
-        found = np.flatnonzero(merged >= least - skip)
-        found = found[np.argsort(-merged[found], kind="stable")]
+        found, times = merged(begin[short], length[short], least - skip)
         while len(found):
-            found = found[group[found + low] != group[q]]
-            some, found = found[:8], found[8:]
+            other = group[found] != group[q]
+            found, times = found[other], times[other]
+            some, seen, found, times = found[:8], times[:8], found[8:], times[8:]
             if not len(some):
                 return
-            probe = own[long][:, None] + (some + low)[None, :]
+            probe = own[long][:, None] + some[None, :]
             place = np.minimum(np.searchsorted(keys, probe), len(keys) - 1)
-            overlap = merged[some] + (keys[place] == probe).sum(axis=0)
-            linked = (num + den) * overlap >= num * (size[q] + size[some + low])
-            for c in (some[linked] + low).tolist():
+            overlap = seen + (keys[place] == probe).sum(axis=0)
+            linked = (num + den) * overlap >= num * (size[q] + size[some])
+            for c in some[linked].tolist():
                 x, y = group[c], group[q]
                 if x != y:
                     group[group == max(x, y)] = min(x, y)
@@ -284,7 +326,9 @@ def linked_sets(sets: DataFrame, like: tuple[int, int] = LIKE, per_group: int =
     held = sets.select("node", "n", "shingles").join(blocks, "node")
     sizes = cut(held.groupBy("root").agg(F.sum("n").alias("total")))
     groups = buckets_for(sizes, F.col("total"), per_group)
-    held = held.join(sizes, "root")
+    # Few blocks are larger than a group; their sets may be many, so these are dealt by several keys a block.
+    salted = sizes.where(F.col("total") > per_group).select("root", "total", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    held = held.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(salted, ["root", "salt"], "left").withColumn("total", F.coalesce("total", F.lit(0).cast("long"))).drop("salt")
     small = held.where(F.col("total") <= per_group).withColumn("g", F.pmod(F.xxhash64("root"), F.lit(groups)))
     found = group_arrow(small.groupBy("g"), _search(like), "u long, v long")
     # A block that no task should hold: every two of its tiles meet in a task of their own.
@@ -317,19 +361,20 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(ns, pa.int64()), pa.array(names, pa.binary())], ["doc_id", "text_print", "n_shingles", "name"])
 
     known = cut(map_arrow(rows, describe, "doc_id long, text_print long, n_shingles long, name binary"))
-    posted = map_arrow(rows.select("text"), _send(size, buckets), _POSTED_SQL)
-    shared = group_arrow(posted.groupBy("bucket"), _shared(buckets), _POSTED_SQL)
+    common = frequent(rows.select("text"), lambda texts: shingle_sets(texts, size))
+    posted = map_arrow(rows.select("text"), _send(size, buckets, common), _POSTED_SQL)
     scratch = Scratch(docs.sparkSession, "sets")
-    sets = scratch.write(group_arrow(shared.groupBy("bucket"), _survivors(like), "name binary, n long, shingles binary, rarest array<long>"))
-    # A set's node is the first half of its 128-bit name.
-    node = F.conv(F.hex(F.substring("name", 1, 8)), 16, -10).cast("long")
-    links = cut(linked_sets(sets.withColumn("node", node), like))
-    scratch.drop()
-    classes = known.where("n_shingles > 0").groupBy("name").agg(F.min("doc_id").alias("least")).withColumn("node", node)
-    classes = classes.join(links, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    try:
+        shared = group_arrow(posted.groupBy("kind", "bucket"), _shared(buckets), _POSTED_SQL)
+        sets = group_arrow(shared.groupBy("bucket"), _survivors(like), "name binary, n long, shingles binary, rarest array<long>")
+        sets = scratch.write(sets.withColumn("node", F.monotonically_increasing_id()))  # a number for each name, as it is written
+        linked = cut(sets.select("name", "node").join(linked_sets(sets, like), "node").select("name", "root"))
+    finally:
+        scratch.drop()
+    classes = known.where("n_shingles > 0").groupBy("name").agg(F.min("doc_id").alias("least")).join(linked, "name", "left")
     # Only sets with a partner need their component's least document looked up.
     best = classes.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("least").alias("component"))
-    classes = classes.join(best, "root").select("name", "component", F.col("root").alias("part"))
+    classes = classes.join(best, "root", "left").select("name", F.coalesce("component", "least").alias("component"), F.coalesce(F.col("root").cast("string"), F.hex("name")).alias("part"))
     return known.join(classes, "name", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), "text_print", "part")
 
 
@@ -340,13 +385,15 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     of them; texts without words stay once for each id, also for none.
     """
     found = similar_documents(docs, id_col, text_col, size, like).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    key = lambda c: F.coalesce(c, F.lit((1 << 63) - 1))
-    alone = [F.when(F.col("part").isNull(), F.col(c)).alias(f"__{c}") for c in ("doc_id", "text_print")]
+    last = lambda c: F.coalesce(c, F.lit((1 << 63) - 1))
+    alone = [F.when(F.col("part").isNull(), F.col(c)).alias(f"alone_{c}") for c in ("doc_id", "text_print")]
+    key, text_print = own_names(docs.columns, "id", "print")
     # Rows of a part that are left have one id, the least, or none.
-    kept = found.groupBy("part", *alone).agg(F.min("doc_id").alias("least"), F.min("text_print").alias("__print")).select(key(F.col("least")).alias("__id"), "__print")
-    keyed = docs.withColumn("__id", key(F.col(id_col).cast("long"))).withColumn("__print", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    return keyed.join(kept, ["__id", "__print"], "left_semi").dropDuplicates(["__id", "__print"]).select(*docs.columns)
+    kept = found.groupBy("part", *alone).agg(F.min("doc_id").alias("least"), F.min("text_print").alias(text_print)).select(last(F.col("least")).alias(key), text_print)
+    keyed = docs.withColumn(key, last(F.col(id_col).cast("long"))).withColumn(text_print, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    return keyed.join(kept, [key, text_print], "left_semi").dropDuplicates([key, text_print]).select(*docs.columns)
 
 
 def op5_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row of `documents`; a text without words has 0 shingles and is its own component, equal texts are linked, an empty table gives no rows."""
     return similar_documents(table(spark, sf_dir, "documents")).drop("text_print", "part")

@@ -3,8 +3,12 @@
 The minimiser of a window is the least hash of its runs of MINIMISER words.
 Consecutive windows with one minimiser travel as one packed string to the
 minimiser's bucket, so equal windows meet there, and each word is sent about
-three times instead of once a window. In its bucket every window is hashed by 128 bits and
-sorted; all but the earliest of equal ones are removed.
+three times instead of once a window. In its bucket windows are sorted by a hash, those that
+meet are compared byte by byte, and all but the earliest of equal ones are removed.
+
+Runs of words that make up a large share of all come last in the order that
+minimisers are chosen by, so a common phrase is a window's minimiser only where
+the window has nothing rarer, and its bucket gets no more than others.
 
 A string that a task has met already is not sent again: the later one's windows
 are removed there and then. So of a passage that a third of all documents share,
@@ -19,8 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import buckets_for, cut, group_arrow, map_arrow, table
-from .textnp import OTHER, chunks, sliding_min, windows, word_bounds, word_hashes
+from .common import buckets_for, cut, group_arrow, map_arrow, own_names, table
+from .frequent import Frequent, frequent
+from .textnp import chunks, same_bytes, sliding_min, windows, word_bounds, word_hashes
 
 WINDOW, MINIMISER = 20, 3
 #: Bytes of text that one bucket stands for, and bytes of strings that a task holds before it sends them.
@@ -50,8 +55,8 @@ def _packed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[byt
 class _Sender:
     """Collects a task's strings and sends them by bucket."""
 
-    def __init__(self, buckets: int, size: int, minimiser: int):
-        self.buckets, self.size, self.minimiser = buckets, size, minimiser
+    def __init__(self, buckets: int, size: int, minimiser: int, common: Frequent):
+        self.buckets, self.size, self.minimiser, self.common = buckets, size, minimiser, common
         self._clear()
 
     def _clear(self) -> None:
@@ -66,7 +71,9 @@ class _Sender:
             if len(starts) < size:
                 continue
             owner = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-            least = sliding_min(windows(word_hashes(data, starts, ends), self.minimiser), size - self.minimiser + 1)
+            runs = windows(word_hashes(data, starts, ends), self.minimiser)
+            rank = (runs >> np.uint64(1)) | ((self.common.number(runs) > 0).astype(np.uint64) << np.uint64(63))
+            least = sliding_min(rank, size - self.minimiser + 1)
             whole = owner[: len(least)] == owner[size - 1 :]  # windows of one text
             same = np.zeros(len(least), bool)
             same[1:] = (least[1:] == least[:-1]) & whole[1:] & whole[:-1]  # so of one text
@@ -131,13 +138,33 @@ def _merged(ids, prints, starts, ends) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (ids, prints, starts, ends)], schema=_SPANS)
 
 
+def _leads(data: np.ndarray, keys: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For ranges of bytes in order of `keys`: an order, and for each place in it that of the first equal range.
+
+    Ranges with one key are compared byte by byte; where unequal ones have one key, these are sorted as bytes.
+    """
+    order, n = np.arange(len(keys)), len(keys)
+    head = np.ones(n, bool)
+    head[1:] = keys[1:] != keys[:-1]
+    lead = np.flatnonzero(head)[np.cumsum(head) - 1] if n else order
+    equal = size == size[lead]
+    equal[equal] = same_bytes(data, begin[equal], begin[lead[equal]], size[equal])
+    for key in np.unique(keys[~equal]):
+        a, b = (int(np.searchsorted(keys, key, side=x)) for x in ("left", "right"))
+        said = [data[begin[i] : begin[i] + size[i]].tobytes() for i in range(a, b)]
+        order[a:b] = a + np.array(sorted(range(b - a), key=said.__getitem__))  # stable: the first stays first
+        firsts: dict[bytes, int] = {}
+        lead[a:b] = [firsts.setdefault(said[i - a], place) for place, i in enumerate(order[a:b].tolist(), a)]
+    return order, lead
+
+
 def _later_windows(size: int):
     def work(group: pa.Table) -> pa.Table:
         import zstandard
 
         unpack = zstandard.ZstdDecompressor()
-        first, second, which, at, spans = [], [], [], [], []
-        ids, prints, base = [], [], 0
+        first, which, at, begin, length, spans = [], [], [], [], [], []
+        ids, prints, texts, base, held = [], [], [], 0, 0
         for row in group.to_pylist():
             own_ids = np.frombuffer(unpack.decompress(row["doc_ids"]), np.int64)
             own_prints = np.frombuffer(row["prints"], np.int64)
@@ -156,28 +183,30 @@ def _later_windows(size: int):
                 owner = np.repeat(np.arange(b - a), np.diff(words))
                 whole = np.flatnonzero(owner[: len(w) - size + 1] == owner[size - 1 :])
                 first.append(windows(word_hashes(data, w, x), size)[whole])
-                second.append(windows(word_hashes(data, w, x, OTHER), size, OTHER)[whole])
                 which.append((owner[whole] + (base + a)).astype(np.int32))
                 at.append((whole - words[owner[whole]] + starts[a:b][owner[whole]]).astype(np.int32))
+                begin.append(w[whole] + (held + begins[a]))
+                length.append((x[whole + size - 1] - w[whole]).astype(np.int32))
                 a = b
             ids.append(own_ids)
             prints.append(own_prints)
-            base += len(own_ids)
+            texts.append(text)
+            base, held = base + len(own_ids), held + len(text)
         if first:
-            first, second, which, at, ids, prints = map(np.concatenate, (first, second, which, at, ids, prints))
+            first, which, at, begin, length, ids, prints, data = map(np.concatenate, (first, which, at, begin, length, ids, prints, texts))
+            texts.clear()
             order = np.argsort(first)
             met = np.zeros(len(order), bool)
             equal = first[order[1:]] == first[order[:-1]]
             met[1:] |= equal
             met[:-1] |= equal
             rows = order[met]
-            a, b, w, p = first[rows], second[rows], which[rows], at[rows]
+            a, w, p, s, n = first[rows], which[rows], at[rows].astype(np.int64), begin[rows], length[rows].astype(np.int64)
             d, t = ids[w], prints[w]
-            order = np.lexsort((p, t, d, b, a))
-            a, b, d, t, p = a[order], b[order], d[order], t[order], p[order].astype(np.int64)
-            head = np.ones(len(a), bool)
-            head[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-            lead = np.flatnonzero(head)[np.cumsum(head) - 1] if len(a) else np.zeros(0, np.int64)
+            order = np.lexsort((p, t, d, a))
+            a, d, t, p, s, n = a[order], d[order], t[order], p[order], s[order], n[order]
+            order, lead = _leads(data, a, s, n)
+            d, t, p = d[order], t[order], p[order]
             later = (d != d[lead]) | (t != t[lead]) | (p != p[lead])  # a repeated row is no later start
             spans.append((d[later], t[later], p[later], p[later] + size))
         parts = [np.concatenate(x) for x in zip(*spans, strict=True)] if spans else [np.zeros(0, np.int64)] * 4
@@ -186,6 +215,13 @@ def _later_windows(size: int):
     return work
 
 
+def runs_of(texts: pa.Array, minimiser: int = MINIMISER):
+    """Hashes of all runs of `minimiser` words (a few go over the edge of two texts, as in the sender)."""
+    for _, offsets, data in chunks(texts):
+        starts, ends, _ = word_bounds(data, offsets)
+        yield windows(word_hashes(data, starts, ends), minimiser)
+
+
 def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WINDOW, minimiser: int = MINIMISER) -> DataFrame:
     """doc_id, print (hash of the text), spans: sorted [start, end) words of each text that windows met earlier cover.
 
@@ -195,10 +231,11 @@ def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     buckets = buckets_for(rows, F.octet_length("text").cast("long"), PER_BUCKET)
+    common = frequent(rows.select("text"), lambda texts: runs_of(texts, minimiser))
     rows = rows.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc_id"), F.xxhash64("text").alias("print"), "text")
 
     def send(batches):
-        sender = _Sender(buckets, size, minimiser)
+        sender = _Sender(buckets, size, minimiser, common)
         for batch in batches:
             sender.add(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2))
             if sender.held > HELD:
@@ -219,11 +256,12 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     docs = docs.drop(*(c for c in names if c not in (id_col, text_col)))
     spans = cut(removed_spans(docs, id_col, text_col, size, minimiser))
-    keyed = docs.withColumn("__id", F.coalesce(F.col(id_col).cast("long"), F.lit(LAST))).withColumn("__print", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    met = spans.select(F.col("doc_id").alias("__id"), F.col("print").alias("__print"), F.col("spans").alias("__spans"))
-    joined = keyed.join(met, ["__id", "__print"], "left").drop("__id", "__print")
+    key, text_print, met = own_names([*docs.columns, *names], "id", "print", "spans")
+    keyed = docs.withColumn(key, F.coalesce(F.col(id_col).cast("long"), F.lit(LAST))).withColumn(text_print, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    found = spans.select(F.col("doc_id").alias(key), F.col("print").alias(text_print), F.col("spans").alias(met))
+    joined = keyed.join(found, [key, text_print], "left").drop(key, text_print)
     out = T.StructType([*joined.schema.fields, T.StructField(names[0], T.LongType()), T.StructField(names[1], T.LongType()), T.StructField(names[2], T.StringType())])
-    place, marks = joined.columns.index(text_col), joined.columns.index("__spans")
+    place, marks = joined.columns.index(text_col), joined.columns.index(met)
 
     def keep(batches):
         for batch in batches:
@@ -250,7 +288,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     kept.append(b" ".join(parts))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts, pa.int64()), pa.array(lost, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], [*batch.schema.names, *names])
 
-    return map_arrow(joined, keep, out).drop("__spans")
+    return map_arrow(joined, keep, out).drop(met)
 
 
 def deduplicated_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars") -> DataFrame:
@@ -258,13 +296,16 @@ def deduplicated_documents(docs: DataFrame, id_col: str = "doc_id", text_col: st
 
     A text that loses nothing stays as it is; else it is its words, a blank between.
     """
-    done = without_repeats(docs, id_col, text_col, names=("__n_words", "__n_removed", "__kept")).where("__n_removed = 0 OR __n_removed < __n_words")
-    lost = F.col("__n_removed") > 0
-    done = done.withColumn(text_col, F.when(lost, F.col("__kept")).otherwise(F.col(text_col)))
+    n_words, n_removed, kept = own_names(docs.columns, "n_words", "n_removed", "kept_words")
+    done = without_repeats(docs, id_col, text_col, names=(n_words, n_removed, kept))
+    done = done.where((F.col(n_removed) == 0) | (F.col(n_removed) < F.col(n_words)))
+    lost = F.col(n_removed) > 0
+    done = done.withColumn(text_col, F.when(lost, F.col(kept)).otherwise(F.col(text_col)))
     if chars_col in docs.columns:
         done = done.withColumn(chars_col, F.when(lost, F.length(text_col).cast(dict(docs.dtypes)[chars_col])).otherwise(F.col(chars_col)))
     return done.select(*docs.columns)
 
 
 def op10_super_kmer_dedup(spark, sf_dir: str) -> DataFrame:
+    """doc_id, n_words, n_removed and kept_sha256 of every row of `documents`; a null text has no words, a repeated row loses what its like loses, an empty table gives no rows."""
     return without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_words", "n_removed", F.sha2("kept_words", 256).alias("kept_sha256"))

@@ -7,14 +7,12 @@ import pyarrow as pa
 
 #: Texts are worked on in pieces of about so many bytes (a longer text is one piece).
 CHUNK = 1 << 20
-_R = 0x9E3779B97F4A7C15
-#: A second base, for hashes that must not meet where the first ones do.
-OTHER = 0xC2B2AE3D27D4EB4F
-_M64 = (1 << 64) - 1
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+#: Keeps the first n of 8 bytes.
+_MASKS = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -26,21 +24,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i < n, kept between calls."""
-    kept = _powers.__dict__.setdefault("kept", {})
-    have = kept.get(base)
-    if have is None or len(have[0]) < n:
-        size = max(n, CHUNK + 4096)
-        up = np.full(size, base, np.uint64)
-        down = np.full(size, pow(base, -1, 1 << 64), np.uint64)
-        up[0] = down[0] = 1
-        have = (np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64))
-        if size <= 8 * CHUNK:
-            kept[base] = have
-    return have
-
-
 def chunks(texts: pa.Array):
     """(first row, row offsets, bytes) of consecutive rows; nulls are empty texts."""
     if isinstance(texts, pa.ChunkedArray):
@@ -79,24 +62,70 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = _R) -> np.ndarray:
-    """A 64-bit hash of each word's bytes; it doesn't depend on where the word stands."""
-    n = len(data)
-    up, down = _powers(n + 1, base)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-
-
-def windows(hashes: np.ndarray, size: int, base: int = _R) -> np.ndarray:
-    """A 64-bit hash of each run of `size` consecutive hashes."""
-    n = len(hashes)
-    if n < size:
+def _lanes(data: np.ndarray) -> np.ndarray:
+    """The 8 bytes from each position on, as a number; beyond the end there are zeros."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+
+
+def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of two, in this order; not linear in either."""
+    x = a * np.uint64(0x9E3779B97F4A7C15) + b
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(29)
+    return x
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word's bytes; it doesn't depend on where the word stands.
+
+    Each 8 bytes are mixed by themselves, with their place, before they are added
+    up, so no pattern of letters makes sums of different words cancel.
+    """
+    size, lanes = ends - starts, _lanes(data)
+    out = mix((lanes[starts] & _MASKS[np.minimum(size, 8)]) + np.uint64(0x9E3779B97F4A7C15))
+    long = np.flatnonzero(size > 8)
+    if len(long):
+        more = (size[long] - 1) >> 3
+        first = np.cumsum(more) - more
+        owner = np.repeat(np.arange(len(long)), more)
+        place = np.arange(len(owner)) - first[owner] + 1
+        at, left = starts[long][owner] + 8 * place, size[long][owner] - 8 * place
+        every = mix((lanes[at] & _MASKS[np.minimum(left, 8)]) + (place.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+        out[long] += np.add.reduceat(every, first)
+    return mix(out + size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray, step: int = 1 << 21) -> np.ndarray:
+    """Whether data[a:a+size] equals data[b:b+size], for each of many ranges."""
+    lanes, many = _lanes(data), (size + 7) >> 3
+    out = np.ones(len(a), bool)
+    part = np.cumsum(many) // step
+    cuts = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(a)).tolist()
+    for x, y in zip(cuts, cuts[1:], strict=False):
+        n = many[x:y]
+        owner = np.repeat(np.arange(x, y), n)
+        place = 8 * (np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n))
+        differ = ((lanes[a[owner] + place] ^ lanes[b[owner] + place]) & _MASKS[np.minimum(size[owner] - place, 8)]) != 0
+        out[owner[differ]] = False
+    return out
+
+
+def windows(hashes: np.ndarray, size: int) -> np.ndarray:
+    """A 64-bit hash of each run of `size` consecutive hashes: runs of powers of two, paired."""
+    n = len(hashes) - size + 1
+    if n < 1:
         return np.zeros(0, np.uint64)
-    up, down = _powers(n + 1, base)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(hashes * up[:n], out=sums[1:])
-    return mix((sums[size:] - sums[: n - size + 1]) * down[: n - size + 1])
+    have, width, out, done = hashes, 1, None, 0
+    while True:
+        if size & width:
+            part = have[done : done + n]
+            out, done = part if out is None else _pair(out, part), done + width
+        if 2 * width > size:
+            return out
+        have, width = _pair(have[:-width], have[width:]), 2 * width
 
 
 def sliding_min(x: np.ndarray, size: int) -> np.ndarray:
