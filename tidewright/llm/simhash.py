@@ -16,6 +16,8 @@ from .common import SPACE, cut
 
 #: Bits of a fingerprint, a multiple of 64.
 BITS = 128
+#: Bits that near fingerprints differ in at most, and prints of a key that one row of a join holds.
+RADIUS, TILE = 3, 256
 #: Two bits at a time: the lowest bit of each half of a long.
 _LANES = 0x0000000100000001
 
@@ -73,37 +75,56 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     return fingerprints(terms, [id_col, "digest"], "word", bits).drop("digest")
 
 
-def near_fingerprints(prints: DataFrame, radius: int, print_col: str = "fingerprint", bits: int = BITS, keep: int = 2, hot: int = 64) -> DataFrame:
-    """All pairs (left_print < right_print, distance) of distinct fingerprints within `radius` bits.
+def _tables(bits: int, radius: int, keep: int) -> list[tuple[list[int], list[list[int]]]]:
+    """Each choice of `keep` of radius + keep blocks of bits: its mask, a signed long for each 64 bits, and
+    the masks of the blocks before its last that it leaves out."""
+    blocks = radius + keep
+    edges = [round(i * bits / blocks) for i in range(blocks + 1)]
 
-    Bits are cut into radius + keep blocks. Prints within the radius agree in
-    `keep` blocks at least, so each choice of `keep` blocks is a permuted table
-    whose key they share; pairs met in several tables count once. A key of more
-    than `hot` prints is told apart further: its prints are joined again by the
-    tables of their other bits, `keep` + 1 blocks of more, finer ones, which loses
-    none within the radius either. Equal prints are one; join them back by print.
-    """
-    distinct = prints.select(F.col(print_col).alias("p")).where(F.col("p").isNotNull()).distinct()
-    binary = F.concat(*(F.lpad(F.conv(F.substring("p", 8 * i + 1, 8), 16, 2), 32, "0") for i in range(bits // 32)))
+    def mask(chosen) -> list[int]:
+        whole = "".join("1" if any(edges[i] <= b < edges[i + 1] for i in chosen) else "0" for b in range(bits))
+        return [(x := int(whole[at : at + 64], 2)) - ((x >> 63) << 64) for at in range(0, bits, 64)]
 
-    def tables(rows: DataFrame, agree: int) -> DataFrame:
-        blocks = radius + agree
-        edges = [round(i * bits / blocks) for i in range(blocks + 1)]
-        part = [F.substring("b", edges[i] + 1, edges[i + 1] - edges[i]) for i in range(blocks)]
-        keys = [F.concat(F.lit(f"{n}:"), *(part[i] for i in chosen)) for n, chosen in enumerate(combinations(range(blocks), agree))]
-        return rows.withColumn("b", binary).select("p", F.explode(F.array(*keys)).alias("key"))
+    return [(mask(chosen), [mask([i]) for i in range(chosen[-1]) if i not in chosen]) for chosen in combinations(range(blocks), keep)]
 
-    def pairs(keyed: DataFrame) -> DataFrame:
-        met = keyed.alias("x").join(keyed.withColumnRenamed("p", "q"), "key").where("p < q")
-        return met.select("p", "q").withColumn("distance", hamming(F.col("p"), F.col("q"), bits)).where(F.col("distance") <= radius)
 
-    keyed = cut(tables(distinct, keep))
-    crowded = keyed.groupBy("key").count().where(F.col("count") > hot).select("key")
-    plain = pairs(keyed.join(crowded, "key", "left_anti"))
-    # Two prints that meet under a crowded key are both among these; finer tables find them there.
-    again = keyed.join(crowded, "key", "left_semi").select("p").distinct()
-    found = plain.unionByName(pairs(tables(again, keep + 1)))
-    return found.distinct().select(F.col("p").alias("left_print"), F.col("q").alias("right_print"), "distance")
+def near_fingerprints(rows: DataFrame, radius: int = RADIUS, id_col: str = "doc_id", print_col: str = "fingerprint", asks_col: str = "asks", bits: int = BITS, keep: int = 2, tile: int = TILE) -> DataFrame:
+    """For each print that a row with `asks_col` has: print_col, n_near (rows whose prints are within `radius`
+    bits, those of the print itself included) and near_least (the least id among them; null ids count as larger).
+
+    Bits are cut into radius + keep blocks. Prints within the radius agree in
+    `keep` blocks at least, so each choice of `keep` blocks is a permuted table
+    whose key they share; a pair counts in the table of the first blocks it agrees
+    in. Equal prints are one, with their number. The prints of a key meet as
+    arrays: those that ask in tiles of about `tile`, the others likewise, so a
+    crowded key is dealt to many tasks and no pair becomes a row. Null prints are left out.
+    """
+    parts = bits // 64
+    words = [f"h{i}" for i in range(parts)]
+    distinct = rows.where(F.col(print_col).isNotNull()).groupBy(F.col(print_col).alias("p")).agg(F.count("*").alias("n"), F.min(id_col).alias("least"), F.max(F.coalesce(F.col(asks_col), F.lit(False))).alias("asks"))
+    distinct = distinct.select("p", "n", "least", "asks", *(F.conv(F.substring("p", 16 * i + 1, 16), 16, -10).cast("long").alias(w) for i, w in enumerate(words)))
+    tables, long = _tables(bits, radius, keep), lambda x: F.lit(x).cast("long")
+    keys = [F.struct(F.lit(t).alias("t"), *(F.col(w).bitwiseAND(long(m)).alias(f"k{i}") for i, (w, m) in enumerate(zip(words, mask, strict=True)))) for t, (mask, _) in enumerate(tables)]
+    keyed = distinct.select(*words, "n", "least", "asks", F.explode(F.array(*keys)).alias("key"))
+    crowds = keyed.groupBy("key").agg(F.count("*").alias("size"), F.max("asks").alias("asked")).where("asked AND size > 1").select("key", F.ceil(F.col("size") / tile).alias("tiles"))
+    met = keyed.join(crowds, "key").withColumn("tile", F.pmod(F.xxhash64(*words), F.col("tiles")))
+    others = met.groupBy("key", "tile").agg(F.collect_list(F.struct(*words, "n", "least")).alias("others")).drop("tile")
+    asked = met.where("asks").groupBy("key", "tile").agg(F.collect_list(F.struct(*words)).alias("asked")).drop("tile")
+    none = F.array().cast("array<array<bigint>>")
+    out = [F.array(*(F.array(*map(long, m)) for m in masks)) if masks else none for _, masks in tables]
+    apart = F.get(F.array(*out), F.col("key.t"))
+
+    def near(a: Column, o: Column) -> Column:
+        differ = [a[w].bitwiseXOR(o[w]) for w in words]
+        far = sum((F.bit_count(d) for d in differ[1:]), F.bit_count(differ[0]))
+        first = F.forall("apart", lambda m: sum(((d.bitwiseAND(m[i]) != 0).cast("int") for i, d in enumerate(differ)), F.lit(0)) > 0)
+        return (far <= radius) & (far > 0) & first
+
+    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(None).cast(dict(rows.dtypes)[id_col]).alias("least"))
+    tally = lambda a: F.aggregate(F.filter("others", lambda o: near(a, o)), start, lambda s, o: F.struct((s["n"] + o["n"]).alias("n"), F.least(s["least"], o["least"]).alias("least")))
+    found = asked.join(others, "key").withColumn("apart", apart).select(F.explode(F.transform("asked", lambda a: F.struct(*(a[w].alias(w) for w in words), tally(a).alias("met")))).alias("x"))
+    found = found.select(*(f"x.{w}" for w in words), "x.met.n", "x.met.least").where("n > 0").groupBy(*words).agg(F.sum("n").alias("more"), F.min("least").alias("other"))
+    return distinct.where("asks").join(found, words, "left").select(F.col("p").alias(print_col), (F.col("n") + F.coalesce("more", F.lit(0).cast("long"))).alias("n_near"), F.least("least", "other").alias("near_least"))
 
 
 def _boundaries(docs: DataFrame, n: int) -> list[int]:
@@ -168,6 +189,16 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def op6_simhash(spark, sf_dir: str) -> DataFrame:
+    """Fingerprints of every row of `documents`, and, for rows whose id is divisible by 20, of all documents how
+    many others are within RADIUS bits (n_near) and the least id of those and itself (near_least); else these are null.
+
+    Null texts are empty ones, rows of one id go by text, an empty table gives no rows.
+    """
     from .common import table
 
-    return edited_fingerprints(table(spark, sf_dir, "documents"))
+    rows = cut(edited_fingerprints(table(spark, sf_dir, "documents")))
+    asks = F.coalesce(F.col("doc_id") % 20 == 0, F.lit(False))
+    near = near_fingerprints(rows.select("doc_id", "fingerprint", asks.alias("asks")))
+    found = rows.where(asks).join(near, "fingerprint").withColumn("n_near", F.col("n_near") - 1)
+    none = F.lit(None).cast("long")
+    return found.unionByName(rows.where(~asks).withColumns({"n_near": none, "near_least": none}))
