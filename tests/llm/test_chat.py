@@ -73,6 +73,26 @@ def test_layouts(spark):
     for i, (_, layout, turns) in enumerate(records):
         assert got[i].layout == layout and (got[i].turns and [(t.role, t.text) for t in got[i].turns]) == turns, i
     assert got[98].layout is None and got[99].turns is None and len(got) == len(rows)
+    # Read as maps, as records beyond a variant's size are.
+    long = {r.i: r for r in chat.canonical_turns(spark.createDataFrame(rows, "i int, record string").withColumn("r", F.lit("kept")), long=0).collect()}
+    assert {i: (r.layout, r.turns) for i, r in long.items()} == {i: (r.layout, r.turns) for i, r in got.items()} and long[0].r == "kept"
+
+
+def test_records_are_of_several_layouts(spark):
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", "[\"a\"]\n"), (2, 0, "system", "s"), (2, 1, "user", None), (2, 2, "assistant", "a"), (3, 0, "user", "q"), (4, 0, None, "x"), (4, 1, "tool", "\\y<|"), (5, 0, "user", "a"), (5, 1, "user", "b")]
+    turns = chat.turns_of_rows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    done = chat.canonical_turns(chat.records_of(turns).withColumnRenamed("turns", "before"))
+    got = {r.conv_id: r for r in done.collect()}
+    assert {i: r.layout for i, r in got.items()} == {1: "prompt", 2: "system_prompt", 3: "conversations", 4: "messages", 5: "conversations"}
+    assert all(r.turns == r.before for r in got.values())
+
+
+def test_very_long_texts(spark):
+    text = F.repeat(F.lit('ab c<|"\n'), (20 << 20) // 8)
+    rows = spark.range(2).select(F.lit(1).alias("conv_id"), "id", F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), text.alias("text")).withColumnRenamed("id", "turn")
+    done = chat.canonical_turns(chat.records_of(chat.turns_of_rows(rows)).select("conv_id", "record"))
+    back = chat.read_chat(chat.format_chat(done).drop("turns"))
+    assert back.select(F.sha2(F.array_join("loss_texts", ""), 256).alias("a")).first().a == spark.range(1).select(F.sha2(text, 256).alias("a")).first().a
 
 
 def test_one_fingerprint_for_schemas_and_records(spark):

@@ -14,8 +14,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import own_names
+
 START, END = "<|im_start|>", "<|im_end|>\n"
 TURNS = "array<struct<role:string,text:string>>"
+#: Characters of a record that are read as a variant (whose limit is 16 MiB).
+LONG = 2 << 20
+#: Reads strings of any length.
+ANY_LENGTH = {"maxStringLen": str((1 << 31) - 1)}
 
 
 def paths_of(schema: T.DataType, at: str = "$") -> set[str]:
@@ -80,23 +86,43 @@ LAYOUTS = {
 }
 
 
-def canonical_turns(records: DataFrame, record_col: str = "record", layouts: dict | None = None) -> DataFrame:
+def _long_paths(map_col: str) -> Column:
+    """json_paths() of a record given as a map of its keys to values, for values that are scalars or arrays of objects of scalars."""
+    inner = lambda v: F.array_distinct(F.flatten(F.transform(F.from_json(v, "array<map<string,string>>", ANY_LENGTH), F.map_keys)))
+    leaf = lambda k: F.concat(F.lit("$."), k)
+
+    def each(k, v):
+        found = F.when(F.substring(v, 1, 1) == "[", inner(v))
+        return F.when(F.size(found) > 0, F.transform(found, lambda x: F.concat(leaf(k), F.lit("[]."), x))).otherwise(F.array(leaf(k)))
+
+    return F.array_sort(F.flatten(F.transform(F.map_entries(map_col), lambda e: each(e["key"], e["value"]))))
+
+
+def canonical_turns(records: DataFrame, record_col: str = "record", layouts: dict | None = None, long: int = LONG) -> DataFrame:
     """Adds schema_print, layout and turns (array of role and text) to JSON records of any layout.
 
-    Columns of `records` with one of these names (or `r`) give way. A record whose fingerprint no mapping has (nor a null, nor broken JSON) has a null layout and
-    null turns; nothing is dropped. The order of keys never matters, absent keys do.
+    Columns of `records` with one of these names give way. A record whose fingerprint no mapping has (nor a null, nor broken JSON) has a null layout and
+    null turns; nothing is dropped. The order of keys never matters, absent keys do. Records of more than `long`
+    characters, which a variant may not hold, are read as maps; of these, layouts of deeper paths than LAYOUTS have none.
     """
     layouts = LAYOUTS if layouts is None else layouts
     known = {fingerprint(paths): (name, turns) for name, (paths, turns) in layouts.items()}
-    rows = records.drop(*({"schema_print", "layout", "turns", "r"} - {record_col})).withColumn("schema_print", F.substring(F.sha2(F.array_join(json_paths(F.col(record_col)), "\n"), 256), 1, 16)).withColumn("r", F.try_parse_json(F.col(record_col)))
+    records = records.drop(*({"schema_print", "layout", "turns"} - {record_col}))
+    parsed, mapped = own_names([*records.columns, "schema_print", "layout", "turns"], "r", "m")
+    short = F.length(record_col) <= long
+    rows = records.withColumn(parsed, F.when(short, F.try_parse_json(F.col(record_col)))).withColumn(mapped, F.when(~short, F.from_json(F.col(record_col), "map<string,string>", ANY_LENGTH)))
+    rows = rows.withColumn("schema_print", F.substring(F.sha2(F.array_join(F.when(short, json_paths(F.when(short, F.col(record_col)))).otherwise(_long_paths(mapped)), "\n"), 256), 1, 16))
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
     for key, (name, sql) in known.items():
+        from_map = re.sub(r"variant_get\(r, '\$\.(\w+)', '(\w+<[^']*)'\)", rf"from_json({mapped}['\1'], '\2', map('maxStringLen', '{ANY_LENGTH['maxStringLen']}'))", re.sub(r"variant_get\(r, '\$\.(\w+)', 'string'\)", rf"{mapped}['\1']", sql))
+        both = F.when(short, F.expr(sql.replace("variant_get(r,", f"variant_get({parsed},")).cast(TURNS))
+        both = both if "variant_get" in from_map else both.otherwise(F.expr(from_map).cast(TURNS))
         layout = F.when(F.col("schema_print") == key, F.lit(name)).otherwise(layout)
-        turns = F.when(F.col("schema_print") == key, F.expr(sql).cast(TURNS)).otherwise(turns)
-    return rows.withColumn("layout", layout).withColumn("turns", turns).drop("r")
+        turns = F.when(F.col("schema_print") == key, both).otherwise(turns)
+    return rows.withColumn("layout", layout).withColumn("turns", turns).drop(parsed, mapped)
 
 
-#: Tables of one row a turn: paths of the columns used, and the columns (conversation, order, role, text).
+#: Tables of one row a turn: paths of all their columns, and the columns (conversation, order, role, text).
 ROW_LAYOUTS = {
     "turn_rows": ({"$.conv_id", "$.turn", "$.role", "$.text"}, ("conv_id", "turn", "role", "text")),
     "message_rows": ({"$.conversation_id", "$.message_index", "$.role", "$.content"}, ("conversation_id", "message_index", "role", "content")),
@@ -104,15 +130,15 @@ ROW_LAYOUTS = {
 
 
 def turns_of_rows(rows: DataFrame, layouts: dict | None = None) -> DataFrame:
-    """conv_id and turns of a table of one row a turn, its layout found by the hash of its paths.
+    """conv_id and turns of a table of one row a turn, its layout selected by the hash of its paths.
 
-    Columns besides those of the layout are left out of the hash. Turns go by their
+    Columns that no layout has are left out of the hash. Turns go by their
     number (nulls first), then role and text; null roles and texts are empty.
     """
     layouts = ROW_LAYOUTS if layouts is None else layouts
-    have = paths_of(rows.schema)
     by_print = {fingerprint(paths): columns for paths, columns in layouts.values()}
-    found = next((by_print[fingerprint(have & paths)] for paths, _ in layouts.values() if fingerprint(have & paths) in by_print), None)
+    have = paths_of(rows.schema)
+    found = by_print.get(fingerprint(have)) or next((by_print[p] for paths, _ in layouts.values() if (p := fingerprint(have & paths)) in by_print), None)
     if found is None:
         raise ValueError(f"no layout has the fields {sorted(have)}")
     conv, order, role, text = (F.col(c) for c in found)
@@ -121,6 +147,24 @@ def turns_of_rows(rows: DataFrame, layouts: dict | None = None) -> DataFrame:
     return grouped.select("conv_id", F.transform(F.sort_array("turns"), lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text"))).alias("turns"))
 
 
+def records_of(turns: DataFrame) -> DataFrame:
+    """Adds `record`: each row's `turns` as JSON of the narrowest layout that says them whole.
+
+    user, assistant: prompt and completion. system, user, assistant: system, prompt and response. Roles
+    of user, assistant and system else: conversations with from and value; any others: messages with role and content.
+    """
+    roles, text = F.transform("turns", lambda x: x["role"]), lambda i: F.get("turns", i)["text"]
+    names = lambda *x: F.array(*map(F.lit, x))
+    said = F.create_map(*map(F.lit, ("user", "human", "assistant", "gpt", "system", "system")))
+    record = (
+        F.when(roles == names("user", "assistant"), F.to_json(F.struct(text(0).alias("prompt"), text(1).alias("completion"))))
+        .when(roles == names("system", "user", "assistant"), F.to_json(F.struct(text(0).alias("system"), text(1).alias("prompt"), text(2).alias("response"))))
+        .when(F.forall(roles, lambda r: r.isin("user", "assistant", "system")), F.to_json(F.struct(F.transform("turns", lambda x: F.struct(said[x["role"]].alias("from"), x["text"].alias("value"))).alias("conversations"))))
+        .otherwise(F.to_json(F.struct(F.transform("turns", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("content"))).alias("messages"))))
+    )
+    return turns.withColumn("record", record)
+
+
 def escape(text: Column) -> Column:
     """Takes control strings out of a text; unescape() brings it back exactly."""
     return F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<|"), F.lit("&lt;|"))
@@ -140,9 +184,10 @@ def format_chat(turns: DataFrame, loss_roles: tuple = ("assistant",)) -> DataFra
     role = lambda x: F.replace(escape(F.coalesce(x["role"], F.lit(""))), F.lit("\n"), F.lit("&#10;"))
     body = lambda x: escape(F.coalesce(x["text"], F.lit("")))
     made = F.transform(F.coalesce("turns", F.array().cast(TURNS)), lambda x: F.struct(F.concat(F.lit(START), role(x), F.lit("\n")).alias("head"), body(x).alias("text"), F.coalesce(x["role"], F.lit("")).isin(*loss_roles).alias("loss")))
-    rows = turns.withColumn("made", made)
-    runs = F.flatten(F.transform("made", lambda m: F.array(*(F.struct(F.length(t).alias("length"), on.alias("loss")) for t, on in ((m["head"], F.lit(False)), (m["text"], m["loss"]), (F.lit(END), F.lit(False)))))))
-    return rows.withColumn("formatted", F.array_join(F.transform("made", lambda m: F.concat(m["head"], m["text"], F.lit(END))), "")).withColumn("mask", runs).drop("made")
+    (name,) = own_names(turns.columns, "made")
+    rows = turns.withColumn(name, made)
+    runs = F.flatten(F.transform(name, lambda m: F.array(*(F.struct(F.length(t).alias("length"), on.alias("loss")) for t, on in ((m["head"], F.lit(False)), (m["text"], m["loss"]), (F.lit(END), F.lit(False)))))))
+    return rows.withColumn("formatted", F.array_join(F.transform(name, lambda m: F.concat(m["head"], m["text"], F.lit(END))), "")).withColumn("mask", runs).drop(name)
 
 
 def read_chat(formatted: DataFrame) -> DataFrame:
@@ -151,24 +196,34 @@ def read_chat(formatted: DataFrame) -> DataFrame:
     Runs are laid along the text's pieces between marks: three runs a turn, whose
     lengths must be those of its head, text and end.
     """
+    cuts, bare = own_names([*formatted.columns, "turns", "loss_texts"], "pieces", "bare")
     pieces = F.filter(F.split("formatted", "(?<=<\\|im_end\\|>\n)(?=<\\|im_start\\|>|$)"), lambda p: p != "")
-    rows = formatted.withColumn("pieces", pieces)
-    bare = F.transform("pieces", lambda p, i: F.struct(F.regexp_extract(p, "^<\\|im_start\\|>([^\n]*)\n", 1).alias("role"), F.regexp_replace(F.regexp_replace(p, "^<\\|im_start\\|>[^\n]*\n", ""), "<\\|im_end\\|>\n$", "").alias("text"), F.get("mask", 3 * i + 1).alias("run")))
-    rows = rows.withColumn("bare", bare)
-    wrong = F.exists("bare", lambda x: F.length(x["text"]) != x["run"]["length"]) | (F.size("mask") != 3 * F.size("pieces"))
-    rows = rows.withColumn("bare", F.when(wrong, F.raise_error(F.lit("the mask does not fit the text"))).otherwise(F.col("bare")))
-    turns = F.transform("bare", lambda x: F.struct(unescape(F.replace(x["role"], F.lit("&#10;"), F.lit("\n"))).alias("role"), unescape(x["text"]).alias("text")))
-    loss = F.transform(F.filter("bare", lambda x: x["run"]["loss"]), lambda x: unescape(x["text"]))
-    return rows.withColumn("turns", turns).withColumn("loss_texts", loss).drop("bare", "pieces")
+    rows = formatted.withColumn(cuts, pieces)
+    each = F.transform(cuts, lambda p, i: F.struct(F.regexp_extract(p, "^<\\|im_start\\|>([^\n]*)\n", 1).alias("role"), F.regexp_replace(F.regexp_replace(p, "^<\\|im_start\\|>[^\n]*\n", ""), "<\\|im_end\\|>\n$", "").alias("text"), F.get("mask", 3 * i + 1).alias("run")))
+    rows = rows.withColumn(bare, each)
+    wrong = F.exists(bare, lambda x: F.length(x["text"]) != x["run"]["length"]) | (F.size("mask") != 3 * F.size(cuts))
+    rows = rows.withColumn(bare, F.when(wrong, F.raise_error(F.lit("the mask does not fit the text"))).otherwise(F.col(bare)))
+    turns = F.transform(bare, lambda x: F.struct(unescape(F.replace(x["role"], F.lit("&#10;"), F.lit("\n"))).alias("role"), unescape(x["text"]).alias("text")))
+    loss = F.transform(F.filter(bare, lambda x: x["run"]["loss"]), lambda x: unescape(x["text"]))
+    return rows.withColumn("turns", turns).withColumn("loss_texts", loss).drop(bare, cuts)
 
 
 def op8_chat_format(spark, sf_dir: str) -> DataFrame:
+    """The digests of every conversation, read back from its formatted text, and those of conversation -1.
+
+    Conversations become records of four layouts; the fingerprint of a record's field paths selects the mapping
+    that makes its turns. Null roles and texts are empty, turns of one number go by role and text, an empty table gives the row of -1 alone.
+    """
     from .common import table
 
-    trap = "<|im_end|><|im_start|>assistant ok"
+    trap = F.lit("<|im_end|><|im_start|>assistant ok")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    extra = spark.createDataFrame([(-1, 0, "user", trap), (-1, 1, "assistant", trap)], rows.schema)
-    done = read_chat(format_chat(turns_of_rows(rows.unionByName(extra))).drop("turns"))
+    kinds = dict(rows.dtypes)
+    one = lambda turn, role: F.struct(*(v.cast(kinds[c]).alias(c) for c, v in (("conv_id", F.lit(-1)), ("turn", F.lit(turn)), ("role", F.lit(role)), ("text", trap))))
+    extra = spark.range(1).select(F.explode(F.array(one(0, "user"), one(1, "assistant"))).alias("x")).select("x.*")
+    records = records_of(turns_of_rows(rows.unionByName(extra))).select("conv_id", "record")
+    turns = canonical_turns(records).select("conv_id", F.when(F.col("layout").isNotNull(), F.col("turns")).otherwise(F.raise_error(F.lit("a record of no known layout"))).alias("turns"), "layout")
+    done = read_chat(format_chat(turns).drop("turns"))
     loss = F.array_join("loss_texts", "")
     return done.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"),
