@@ -120,10 +120,11 @@ def group_arrow(grouped, work, schema: str) -> DataFrame:
 
 
 def lake_fs(uri: str):
-    """The pyarrow file system of a shared folder's URI, and the path in it."""
+    """The pyarrow file system of a shared folder's URI, and the path in it; Hadoop's names of S3 are S3 here."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(uri)
+    scheme, colon, rest = uri.partition("://")
+    return fs.FileSystem.from_uri(f"s3://{rest}" if colon and scheme in ("s3a", "s3n") else uri)
 
 
 def buckets_for(df: DataFrame, amount, per_bucket: int, least: int = 1) -> int:

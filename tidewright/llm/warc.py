@@ -4,6 +4,9 @@ An archive is two tables below one folder. `payloads`: each distinct payload
 once, under its SHA-256, checked when stored and when read. `headers`: the exact
 header bytes of every record, with the digest of its payload. A join on the
 digest gives the records back byte by byte; revisits carry headers alone.
+
+Joins deal a digest of many records by several keys: headers by salts where it has
+a large share of all, payloads by lots of records.
 """
 
 from __future__ import annotations
@@ -14,12 +17,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, lake_fs, map_arrow, table
+from .common import Scratch, cut, lake_fs, map_arrow, table
 
 #: Payloads below so many bytes are never made revisits.
 LEAST_REVISIT = 100
 #: Records that one copy of a payload answers for in the join; a payload of more is copied once for each such lot.
 LOT = 512
+#: A digest of a SHARE-th of all records or more (there are SHARE of them at most) is dealt by that many salts.
+SHARE = 1024
+#: What ends a record.
+CLOSE = b"\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"
 
@@ -54,22 +61,38 @@ def write_archive(pages: DataFrame, folder: str, id_col: str = "page_id", url_co
     kept = check.groupBy("digest").agg(F.first("payload").alias("payload"), F.min("id").alias("first_id"), F.count("*").alias("n"), F.min("other").alias("low"), F.max("other").alias("high"), F.min("size").alias("size"), F.max("size").alias("most"))
     kept.select(F.when((F.col("low") == F.col("high")) & (F.col("size") == F.col("most")), F.col("digest")).otherwise(F.raise_error(F.lit("two payloads have one digest"))).alias("digest"), "size", "first_id", "n", "payload").write.parquet(f"{folder}/payloads")
     index = spark.read.parquet(f"{folder}/payloads").select("digest", "first_id", "n")
-    rows = rows.drop("payload").join(index, "digest")
+    total = index.agg(F.sum("n")).first()[0] or 0
+    hot = index.select("digest", "first_id", "n", (F.col("n") >= max(LOT, total // SHARE)).alias("hot"))
+    salts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SHARE - 1))).otherwise(F.array(F.lit(0)))
+    many = F.broadcast(hot.where("hot").select("digest", "hot"))  # SHARE rows at most
+    rows = rows.drop("payload").join(many, "digest", "left").withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("id", "url"), F.lit(SHARE)).cast("int")).otherwise(F.lit(0))).drop("hot")
+    rows = rows.join(hot.select("digest", "first_id", "n", F.explode(salts).alias("salt")), ["digest", "salt"])
     kind = F.when((F.col("size") < LEAST_REVISIT) | F.col("id").eqNullSafe(F.col("first_id")), F.lit("response")).otherwise(F.lit("revisit"))
     rows = rows.withColumn("kind", kind)
     lots = F.ceil(F.col("n") / LOT)
-    rows.select("id", "digest", F.encode(_head(F.col("kind"), F.col("id"), F.col("url"), F.col("digest"), F.col("size"), F.col("first_id")), "utf-8").alias("header"), F.pmod(F.xxhash64("id", "url"), lots).cast("int").alias("lot")).write.parquet(f"{folder}/headers")
+    rows.select("id", "digest", F.encode(_head(F.col("kind"), F.col("id"), F.col("url"), F.col("digest"), F.col("size"), F.col("first_id")), "utf-8").alias("header"), F.pmod(F.xxhash64("id", "url"), lots).cast("int").alias("lot"), (F.col("kind") == "revisit").alias("revisit")).write.parquet(f"{folder}/headers")
 
 
 def read_archive(spark, folder: str) -> DataFrame:
-    """header, payload (full) and the record's bytes of every record, by joining the two tables.
+    """record (its exact bytes) and payload (that a revisit refers to; else null) of every record, by joining the two tables.
 
     A payload of many records is copied once for each LOT of them, and each lot
     is a key of its own, so no key holds more than about LOT records.
     """
-    headers = spark.read.parquet(f"{folder}/headers")
+    headers = spark.read.parquet(f"{folder}/headers").select("digest", "lot", "header", "revisit")
     stored = spark.read.parquet(f"{folder}/payloads").select("digest", "payload", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / LOT).cast("int") - 1)).alias("lot"))
-    return headers.join(stored, ["digest", "lot"]).select("header", "payload")
+    body = F.when(F.col("revisit"), F.lit(b"")).otherwise(F.col("payload"))
+    return headers.join(stored, ["digest", "lot"]).select(F.concat("header", body, F.lit(CLOSE)).alias("record"), F.when(F.col("revisit"), F.col("payload")).alias("payload"))
+
+
+def parse_record(record: bytes) -> tuple[dict[str, str], bytes]:
+    """The header fields and the body of one record's bytes."""
+    head, close, rest = bytes(record).partition(CLOSE)
+    said = parse_header(head + close)
+    size = int(said["Content-Length"])
+    if rest[size:] != CLOSE:
+        raise ValueError(f"{said['WARC-Record-ID']} is not as long as its header says")
+    return said, rest[:size]
 
 
 def parse_header(header: bytes) -> dict[str, str]:
@@ -90,8 +113,10 @@ def records(archive: DataFrame) -> DataFrame:
     def parse(batches):
         for batch in batches:
             rows = []
-            for header, payload in zip(batch.column(0), batch.column(1), strict=True):
-                said, data = parse_header(header.as_py()), memoryview(payload.as_buffer())
+            for record, payload in zip(batch.column(0), batch.column(1), strict=True):
+                said, data = parse_record(record.as_buffer())
+                if said["WARC-Type"] == "revisit":
+                    data = memoryview(payload.as_buffer())
                 digest = hashlib.sha256(data).hexdigest()
                 if said["WARC-Payload-Digest"] != f"sha256:{digest}" or int(said["X-Payload-Length"]) != len(data):
                     raise ValueError(f"the payload of {said['WARC-Record-ID']} is not what its header says")
@@ -115,14 +140,13 @@ def export_files(archive: DataFrame, folder: str) -> DataFrame:
         draft, n = f"{path}.{uuid.uuid4().hex}", 0
         with fs.open_output_stream(draft) as out:
             for batch in batches:
-                for header, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    body = b"" if parse_header(header)["WARC-Type"] == "revisit" else payload
-                    out.write(header + body + b"\r\n\r\n")
+                for record in batch.column(0):
+                    out.write(record.as_buffer())
                     n += 1
         fs.move(draft, path)
         yield pa.RecordBatch.from_pylist([{"path": path, "n_records": n}])
 
-    return map_arrow(archive.select("header", "payload"), write, "path string, n_records long")
+    return map_arrow(archive.select("record"), write, "path string, n_records long")
 
 
 def read_file(uri: str):
@@ -147,6 +171,11 @@ def read_file(uri: str):
 
 
 def op4_content_addressed_warc(spark, sf_dir: str) -> DataFrame:
-    folder = Scratch(spark, "warc").path
-    write_archive(table(spark, sf_dir, "pages"), folder)
-    return records(read_archive(spark, folder)).drop("url")
+    """A row for each record of the archive of `pages`, parsed from its bytes. Null payloads are empty, a null id comes
+    last, repeated rows are records of their own, an empty table gives no rows; payloads of any length are one record."""
+    scratch = Scratch(spark, "warc")
+    try:
+        write_archive(table(spark, sf_dir, "pages"), scratch.path)
+        return cut(records(read_archive(spark, scratch.path)).drop("url"))
+    finally:
+        scratch.drop()
