@@ -165,7 +165,7 @@ class Reader:
         self.file.close()
 
 
-def write_token_files(docs: DataFrame, folder: str, tokenizer: str, vocabulary: int, end_id: int, words_only: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def write_token_files(docs: DataFrame, folder: str, tokenizer: str, vocabulary: int, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encodes every text, appends `end_id` and writes files in ascending `id_col` order.
 
     Returns one row a file: shard, path, n_docs, n_ids, base (ids of all files
@@ -178,7 +178,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, vocabulary:
 
     def write(batches):
         shard = TaskContext.get().partitionId()
-        encode, out, path = Ids(tokenizer, words_only), None, f"{folder}/shard-{shard:06d}.ids"
+        encode, out, path = Ids(tokenizer), None, f"{folder}/shard-{shard:06d}.ids"
         tail = int(end_id).to_bytes(4, "little")
         for batch in batches:
             for doc_id, ids in zip(batch.column(0).to_pylist(), encode.batch(batch.column(1)), strict=True):
@@ -216,9 +216,14 @@ def read_token_files(files: DataFrame) -> DataFrame:
 
 
 def op2_token_files(spark, sf_dir: str) -> DataFrame:
+    """doc_id, start, n_tokens and ids_crc32 of every row of `documents`, from the files. Null and empty texts have the end id
+    alone, rows of one id go by text, texts of any length are one document, an empty table gives no rows."""
     import public_tokenizers
 
-    from .common import table
+    from .common import cut, table
 
-    folder = Scratch(spark, "token-ids").path
-    return read_token_files(write_token_files(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"), 49408, 2))
+    scratch = Scratch(spark, "token-ids")
+    try:
+        return cut(read_token_files(write_token_files(table(spark, sf_dir, "documents"), scratch.path, public_tokenizers.path("word_bpe_49k.json"), 49408, 2)))
+    finally:
+        scratch.drop()
