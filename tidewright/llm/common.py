@@ -119,6 +119,17 @@ def group_arrow(grouped, work, schema: str) -> DataFrame:
     return grouped.applyInArrow(run, schema)
 
 
+def by_bytes(batch, column: int, size: int):
+    """Slices of a batch whose texts have about `size` bytes together."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    part = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64) // size
+    cuts = [*np.flatnonzero(np.diff(part, prepend=-1)).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        yield batch.slice(a, b - a)
+
+
 def lake_fs(uri: str):
     """The pyarrow file system of a shared folder's URI, and the path in it; Hadoop's names of S3 are S3 here."""
     from pyarrow import fs

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, cut, map_arrow
+from .common import Scratch, by_bytes, cut, map_arrow
 from .tokens import Ids
 
 WINDOW = 1024
@@ -24,8 +24,8 @@ WINDOW = 1024
 K1, B, SHARD = 1.2, 0.75, 2048
 #: Ids that are rows of a matrix at most, the part of the shard such an id is in at least, and postings added up at once.
 ROWS, PART, POSTINGS = 1024, 16, 1 << 20
-#: Documents whose terms are counted together, and that are encoded before they are handed on.
-GROUP, STEP = 256, 1024
+#: Documents whose terms are counted together, and bytes of texts that are encoded before they are handed on (a longer text is handed on alone).
+GROUP, STEP = 256, 8 << 20
 
 
 def counted(ids: list[np.ndarray], vocabulary: int):
@@ -130,7 +130,7 @@ class Packer:
             seed = found if self.offset else None
 
 
-def pack_sequences(docs: DataFrame, tokenizer: str, vocabulary: int, end_id: int, window: int = WINDOW, words_only: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack_sequences(docs: DataFrame, tokenizer: str, vocabulary: int, end_id: int, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every id of every document in one piece of one sequence of `window` ids at most.
 
     Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
@@ -138,15 +138,15 @@ def pack_sequences(docs: DataFrame, tokenizer: str, vocabulary: int, end_id: int
     their own; no row, no sequence. Ids are written once, with each task's counts
     of documents by id; then each partition makes shards of SHARD documents, so
     memory is bounded and no text is shuffled. A task's last sequence alone is
-    shorter than the window.
+    shorter than the window. Of neighbours that score alike the earlier one in the shard comes first.
     """
     spark, width = docs.sparkSession, "<u2" if vocabulary <= 1 << 16 else "<u4"
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     made = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("df", pa.list_(pa.int64()))])
 
     def encode(batches):
-        encoder, df, n, total = Ids(tokenizer, words_only), np.zeros(vocabulary, np.int64), 0, 0
-        for batch in (b.slice(at, STEP) for b in batches for at in range(0, b.num_rows, STEP)):
+        encoder, df, n, total = Ids(tokenizer), np.zeros(vocabulary, np.int64), 0, 0
+        for batch in (part for b in batches for part in by_bytes(b, 1, STEP)):
             ids = [np.append(x, np.uint32(end_id)) for x in encoder.batch(batch.column(1))]
             for keys, _ in counted(ids, vocabulary):
                 df[keys] += 1
@@ -181,13 +181,14 @@ def pack_sequences(docs: DataFrame, tokenizer: str, vocabulary: int, end_id: int
         if own:
             yield done()
 
-    pieces = map_arrow(stored.where("ids IS NOT NULL").select("doc_id", "ids"), pack, ", ".join(f"{f.name} long" for f in schema))
-    pieces = cut(pieces)
-    scratch.drop()
-    return pieces
+    try:
+        return cut(map_arrow(stored.where("ids IS NOT NULL").select("doc_id", "ids"), pack, ", ".join(f"{f.name} long" for f in schema)))
+    finally:
+        scratch.drop()
 
 
 def op7_lexical_packing(spark, sf_dir: str) -> DataFrame:
+    """The pieces of every row of `documents`; null and empty texts are the end id alone, repeated rows are documents of their own, texts of any length are cut, an empty table gives no rows."""
     import public_tokenizers
 
     from .common import table
