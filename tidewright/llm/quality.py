@@ -12,8 +12,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import cut, map_arrow, table
+from .common import cut, map_arrow, own_names, table
 from .textnp import IS_SPACE, chunks, word_bounds, word_hashes
 
 #: Bound of the labelled rows that the fit reads, and partners that each gets.
@@ -137,12 +138,11 @@ def best_quantile(grid: list[tuple[int, int]], own: np.ndarray, good: np.ndarray
     return float(below / share[-1]), float(edge * GRID)
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_rows: int = FIT_ROWS) -> tuple[tuple, float, DataFrame]:
-    """(model, threshold, strengths of all rows: doc_id and strength).
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_rows: int = FIT_ROWS) -> tuple:
+    """(Bradley-Terry model, strengths of the labelled rows, which of these are good).
 
     The fit reads at most `fit_rows` labelled rows whose crc32(id) mod 3 is not
-    1, chosen by hash of the id; everything else covers all rows. The threshold
-    is a quantile of the strengths of all documents.
+    1, chosen by hash of the id.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     known = labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int")).where("doc_id IS NOT NULL AND quality IN (0, 1)")
@@ -155,20 +155,29 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             x = features(batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), width).cast(pa.list_(pa.float64()))], ["quality", "x"])
 
-    sample = map_arrow(rows.join(F.broadcast(chosen), "doc_id").select("quality", "text"), measure, "quality int, x array<double>").collect()
+    sample = map_arrow(rows.join(F.broadcast(chosen), "doc_id").select("quality", "text"), measure, "quality int, x array<double>").collect()  # fit_rows documents
     sample.sort(key=lambda r: (r.x, r.quality))  # whatever order they came in
     x = np.array([r.x for r in sample]).reshape(len(sample), width)
     good = np.array([r.quality == 1 for r in sample], bool)
     model = fit(x, good)
+    return model, strengths(x, model), good
+
+
+def with_strengths(rows: DataFrame, text_col: str, strength_col: str, model) -> DataFrame:
+    """`rows` and the strength of each, in one pass over the texts."""
+    place = rows.columns.index(text_col)
 
     def score(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(strengths(features(batch.column(1)), model))], ["doc_id", "strength"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(strengths(features(batch.column(place)), model))], [*batch.schema.names, strength_col])
+
+    return map_arrow(rows, score, T.StructType([*rows.schema.fields, T.StructField(strength_col, T.DoubleType())]))
+
 
-    scored = cut(map_arrow(rows, score, "doc_id long, strength double"))
-    grid = sorted((int(r[0]), r[1]) for r in scored.groupBy(F.floor(F.col("strength") / GRID).alias("step")).count().collect())  # 2 * LIMIT / GRID rows at most
-    _, threshold = best_quantile(grid, strengths(x, model), good)
-    return model, threshold, scored
+def threshold_of(scored: DataFrame, strength_col: str, own: np.ndarray, good: np.ndarray) -> float:
+    """The strength at the quantile of all documents that tells the labelled ones apart best."""
+    grid = scored.groupBy(F.floor(F.col(strength_col) / GRID).alias("step")).count().collect()  # 2 * LIMIT / GRID rows at most
+    return best_quantile(sorted((int(r[0]), r[1]) for r in grid), own, good)[1]
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_rows: int = FIT_ROWS) -> DataFrame:
@@ -176,25 +185,24 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
     Null texts are empty texts; labels besides 0 and 1 are left out, of several
     of one document the best counts; without labels of both kinds all scores are
-    0.5. Equal texts have equal scores; an empty table gives an empty one.
+    0.5. Equal texts have equal scores, whatever their length; an empty table gives an empty one.
     """
-    _, threshold, scored = train(docs, labels, id_col, text_col, fit_rows)
-    value = 1 / (1 + F.exp(F.lit(threshold) - F.col("strength")))
+    model, own, good = train(docs, labels, id_col, text_col, fit_rows)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    scored = cut(with_strengths(rows, "text", "strength", model).select("doc_id", "strength"))
+    value = 1 / (1 + F.exp(F.lit(threshold_of(scored, "strength", own, good)) - F.col("strength")))
     out = scored.select("doc_id", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False)).alias("held_out"), value.alias("score"), "strength")
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_rows: int = FIT_ROWS) -> DataFrame:
-    """The rows of `docs` that quality_scores() predicts to be good; texts are read again rather than shuffled."""
-    model, threshold, _ = train(docs, labels, id_col, text_col, fit_rows)
-    place = docs.columns.index(text_col)
-
-    def keep(batches):
-        for batch in batches:
-            yield batch.filter(pa.array(strengths(features(batch.column(place)), model) >= threshold))
-
-    return map_arrow(docs, keep, docs.schema)
+    """The rows of `docs` that quality_scores() predicts to be good. Texts are scored once; rows wait for the threshold in a checkpoint, with their strengths."""
+    model, own, good = train(docs, labels, id_col, text_col, fit_rows)
+    (strength,) = own_names(docs.columns, "strength")
+    scored = cut(with_strengths(docs, text_col, strength, model))
+    return scored.where(F.col(strength) >= threshold_of(scored, strength, own, good)).select(*docs.columns)
 
 
 def op1_bradley_terry_quality(spark, sf_dir: str) -> DataFrame:
+    """A score for every row of `documents`; null and empty texts are scored too, repeated rows alike, an empty table gives no rows."""
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
