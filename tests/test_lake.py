@@ -293,6 +293,30 @@ def test_plans_stay_what_they_should_be(spark, sf_dir):
     assert "BroadcastHashJoin" in anti and "LeftAnti" in anti and "BroadcastNestedLoop" not in anti
 
 
+def test_what_spark_reads_itself_comes_in_one_commit(spark, tmp_path):
+    """No top-n over all that is left, and each commit lists its own folder alone."""
+    (tmp_path / "src").mkdir()
+    rows(spark, DAY).write.parquet(str(tmp_path / "src/t.parquet"))
+    source = ParquetCatalog(spark, str(tmp_path / "src"), {"t": ["id"]}, {"t": ["at"]})
+    cfg = config(tmp_path / "lake", timestamps={"t": "at"}, default_batch_size=2)
+    job, ts, _ = M.prepare(spark, source, cfg, "t")
+    plan = job.cursor_rows(ts, "id", None)._jdf.queryExecution().toString()
+    assert job.rows is None and "TakeOrdered" not in plan and "Sort" not in plan
+    assert M.run_incremental(job, ts, "id") == 12 and job.lake.snapshot().version == 1
+    folder = next(iter(job.lake.snapshot().files)).partition("/")[0]
+    assert {n.partition("/")[0] for n, _, _ in job.lake.log.files.walk(folder)} == {folder}
+
+
+def test_windows_fit_the_rows(spark, tmp_path):
+    job = M.Job(spark, None, None, config(tmp_path), "t", [], [], [], 100, row_bytes=10)
+    wide = spark.createDataFrame([(1, "x" * 1000), (2, None)], "id long, v string")
+    assert M.measured_row_bytes(wide) == 1008
+    job.resize(wide)
+    assert job.rows == job.config.target_memory_mb * (1 << 20) // 1008 and job.row_bytes == 1008
+    job.resize(wide)
+    assert job.rows == job.config.target_memory_mb * (1 << 20) // 1008
+
+
 def test_jdbc_source(spark, tmp_path):
     url = f"jdbc:derby:{tmp_path}/db;create=true"
     c = spark._jvm.java.sql.DriverManager.getConnection(url)
@@ -309,6 +333,10 @@ def test_jdbc_source(spark, tmp_path):
     with pytest.raises(SourceTableMissing):
         source.columns("nowhere")
     assert source.read("t", ("id", 0, 12, 3)).count() == 12
+    split = source.read_by_key("t", "id", 4)
+    assert split.rdd.getNumPartitions() == 4 and ids(split) == list(range(12)) and source.read_by_key("t", "id", 1).rdd.getNumPartitions() == 1
+    whole = config(tmp_path / "whole", modes={"t": "full_refresh"}, read_connections=4)
+    assert M.run_table(spark, source, whole, "t") == ("full_refresh", 12) and len(LakeTable(spark, str(tmp_path / "whole/t")).snapshot().files) == 4
     cfg = config(tmp_path / "lake", timestamps={"t": "at"}, default_batch_size=5)
     assert M.run_table(spark, source, cfg, "t") == ("incremental", 12)
     assert ids(LakeTable(spark, str(tmp_path / "lake/t")).read()) == list(range(12))

@@ -112,8 +112,8 @@ def agg_for(column: ColumnInfo) -> ColumnAgg | None:
     return ColumnAgg(column.name, "text") if kind in TEXT_TYPES else None
 
 
-#: Digits of a limb of a wide sum, and limbs on either side of the point.
-LIMB, LIMBS = 15, 5
+#: Digits of a limb of a wide sum, limbs on either side of the point, and digits of numbers whose sum a decimal(38) holds, however many.
+LIMB, LIMBS, NARROW = 15, 5, 19
 
 
 def _wide_sum(name: str, text: Column, scale: int) -> list[Column]:
@@ -137,7 +137,7 @@ def limbs_value(limbs: list, scale: int) -> str | None:
 
 
 def value_aggregates(df: DataFrame, specs: list[ColumnAgg]) -> DataFrame:
-    """One row, one scan: for each column its __sum, __min, __max (text) and __n; long decimals have limbs for a sum.
+    """One row, one scan: for each column its __sum, __min, __max (text) and __n; decimals of more than NARROW digits have limbs for a sum.
 
     Garbage in a text column that stands for a number or time counts as a value but joins no sum, least or greatest.
     """
@@ -155,6 +155,10 @@ def value_aggregates(df: DataFrame, specs: list[ColumnAgg]) -> DataFrame:
                 out += _wide_sum(s.name, number, s.scale)
                 out += [F.min_by(number, F.when(number.isNotNull(), rank)).alias(f"{s.name}__min"), F.max_by(number, F.when(number.isNotNull(), rank)).alias(f"{s.name}__max"), n]
                 continue
+            if isinstance(have, T.DecimalType) and have.precision - have.scale + max(s.scale, have.scale) > NARROW:
+                text = lambda x: F.translate(F.format_number(x, have.scale), ",", "")  # noqa: B023, E731  plain digits in any mode
+                out += [*_wide_sum(s.name, text(c), s.scale), text(F.min(c)).alias(f"{s.name}__min"), text(F.max(c)).alias(f"{s.name}__max"), n]
+                continue
             wide = c.cast(f"decimal(38,{s.scale})")
             out += [F.sum(wide).cast("string").alias(f"{s.name}__sum"), F.min(wide).cast("string").alias(f"{s.name}__min"), F.max(wide).cast("string").alias(f"{s.name}__max"), n]
         elif s.kind in ("seconds", "day"):
@@ -210,7 +214,7 @@ def fingerprints(specs: list[ColumnAgg], source: list[AggValues], lake: list[Agg
 
 
 def fingerprint_columns(df: DataFrame, specs: list[ColumnAgg]) -> DataFrame:
-    """One row of value_aggregates() as fingerprints, without leaving Spark (numbers of 38 digits at most)."""
+    """One row of value_aggregates() as fingerprints, without leaving Spark (numbers of NARROW digits at most)."""
     values = value_aggregates(df, specs)
     show = lambda c: F.coalesce(F.col(quoted(c)), F.lit(NONE))
     out = []

@@ -35,6 +35,7 @@ class Config:
     s3_prefix: str = "lake"
     merge_spill_dir: str | None = None
     default_batch_size: int = DEFAULT_BATCH
+    read_connections: int = 8
     log_level: str = "info"
     update_strategy: str = "replace"
     modes: dict[str, str] = field(default_factory=dict)
@@ -179,7 +180,7 @@ def load(env: Mapping[str, str] | None = None, local: str | None = None, memory_
         database_url=url, tables=tables, root=local or f"s3a://{s3['S3_BUCKET']}/{prefix}", target_memory_mb=target, merge_memory_mb=merge,
         s3_bucket=s3["S3_BUCKET"], s3_access_key_id=s3["S3_ACCESS_KEY_ID"], s3_secret_access_key=s3["S3_SECRET_ACCESS_KEY"],
         s3_endpoint=env.get("S3_ENDPOINT") or None, s3_region=env.get("S3_REGION") or "us-east-1", s3_prefix=prefix,
-        merge_spill_dir=env.get("MERGE_SPILL_DIR") or None, default_batch_size=_number(env, "DEFAULT_BATCH_SIZE", DEFAULT_BATCH),
+        merge_spill_dir=env.get("MERGE_SPILL_DIR") or None, default_batch_size=_number(env, "DEFAULT_BATCH_SIZE", DEFAULT_BATCH), read_connections=_number(env, "READ_CONNECTIONS", 8),
         log_level=env.get("LOG_LEVEL") or "info", update_strategy=strategy or "replace", modes=parse_modes(env, tables),
         timestamps=_per_table(env, "TABLE_TIMESTAMP", tables), initial_hwm=parse_initial_hwm(env, tables),
         insert_cursors=_per_table(env, "TABLE_INSERT_CURSOR", tables), update_cursors=_per_table(env, "TABLE_UPDATE_CURSOR", tables), reconcile=parse_reconcile(env, tables),

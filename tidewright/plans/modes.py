@@ -19,7 +19,7 @@ from ..operators.windows import batch_hwm, cursor_window, keyset_page
 from ..sources.catalog import SourceCatalog, greatest_as_text, null_rows
 from ..sources.lake_table import LakeTable, Marks
 from .config import FULL_REFRESH, INCREMENTAL, TWO_STREAM, Config
-from .decisions import integer_key, resolve, window_rows
+from .decisions import integer_key, resized, resolve, window_rows
 
 log = logging.getLogger(__name__)
 
@@ -38,6 +38,7 @@ class Job:
     selected: list[str]
     rows: int | None
     stop: Callable[[], bool] = lambda: False
+    row_bytes: int | None = None
 
     def window(self, plan, sql: str | None) -> DataFrame:
         """A window planned by the source where it takes SQL, else by Spark."""
@@ -56,6 +57,30 @@ class Job:
     def schema(self):
         return lake_schema([c for c in self.columns if c.name in self.selected])
 
+    def whole(self) -> DataFrame:
+        """All rows of the source; a database is read by ranges of its integer key where it has one."""
+        key = integer_key(self.columns, self.indexes)
+        if key and hasattr(self.source, "read_by_key"):
+            return self.source.read_by_key(self.table, key, self.config.read_connections)
+        return self.source.read(self.table)
+
+    def resize(self, staged: DataFrame) -> None:
+        """Fits the next window to the length that rows of this one turned out to have."""
+        if self.rows and self.row_bytes:
+            actual = measured_row_bytes(staged)
+            self.rows, self.row_bytes = resized(self.rows, self.config.target_memory_mb, self.row_bytes, actual), max(1, round(actual)) or self.row_bytes
+
+
+def measured_row_bytes(rows: DataFrame) -> float:
+    """Bytes of a row on average: the lengths of texts and binaries, and the widths of other types."""
+    long = [f.name for f in rows.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    fixed = {"byte": 1, "short": 2, "integer": 4, "float": 4, "date": 4, "decimal": 16}
+    width = sum(fixed.get(f.dataType.typeName(), 8) for f in rows.schema.fields if f.name not in long)
+    if not long:
+        return float(width)
+    found = rows.agg(*(F.avg(F.octet_length(F.col(quoted(c)))).alias(f"a{i}") for i, c in enumerate(long))).first()
+    return width + sum(x or 0.0 for x in found)
+
 
 def _staged_frame(lake: LakeTable, adds: list[dict], schema) -> DataFrame:
     return lake.spark.read.schema(schema).parquet(*(f"{lake.path}/{a['add']['path']}" for a in adds))
@@ -112,6 +137,7 @@ def run_incremental(job: Job, ts: str, key: str) -> int:
         total += n
         if job.rows is None or n < job.rows:
             break
+        job.resize(staged)
     return total
 
 
@@ -129,14 +155,14 @@ def commit_staged(lake: LakeTable, adds: list[dict], schema, marks: Marks) -> in
 def run_full_refresh(job: Job, seed: Hwm | None = None, insert_key: str | None = None) -> int:
     """All rows take the table's place in one commit; a source without rows leaves it as it is.
 
-    Spark reads the source once, as one snapshot, rather than by pages; with
-    `seed` and `insert_key` the commit re-seeds the watermarks of two streams.
+    Spark reads the source once, rather than by pages (a database by ranges of
+    its integer key, over several connections); with `seed` and `insert_key` the commit re-seeds the watermarks of two streams.
     """
     schema = job.schema()
     with job.lake.overwrite(schema) as session:
         if job.stop():
             return 0
-        adds = session.stage(job.source.read(job.table).select(*(F.col(quoted(c)) for c in job.selected)))
+        adds = session.stage(job.whole().select(*(F.col(quoted(c)) for c in job.selected)))
         n = _rows(adds)
         if not n or job.stop():
             return 0
@@ -170,7 +196,8 @@ def run_two_stream(job: Job, insert: str, update: str) -> int:
         if not n:
             _discard(job.lake, adds)
             break
-        r = _staged_frame(job.lake, adds, schema).agg(F.max(F.col(quoted(insert)).cast("long")).alias("m"), F.count_if(F.col(quoted(insert)).isNull()).alias("nulls")).first()
+        staged = _staged_frame(job.lake, adds, schema)
+        r = staged.agg(F.max(F.col(quoted(insert)).cast("long")).alias("m"), F.count_if(F.col(quoted(insert)).isNull()).alias("nulls")).first()
         if r.m is None or r.nulls:
             raise RuntimeError(f"{job.table}: no insert watermark can be taken from a window with rows")
         if n == job.rows and last is not None and r.m <= last:
@@ -180,6 +207,7 @@ def run_two_stream(job: Job, insert: str, update: str) -> int:
         total += n
         if job.rows is None or n < job.rows:
             break
+        job.resize(staged)
     while not job.stop():
         # Staged before anything is read from it twice: the source may change.
         adds = job.lake.stage(aligned(job.cursor_rows(update, insert, hwm, last), schema))
@@ -213,13 +241,16 @@ def prepare(spark: SparkSession, source: SourceCatalog, config: Config, table: s
     ts, mode = resolve(columns, indexes, config, table)
     if mode == FULL_REFRESH and table in config.initial_hwm:
         raise ValueError(f"TABLE_HWM_{table} is set, but the table is refreshed in full")
-    rows = window_rows(config.target_memory_mb, source.average_row_bytes(table), config.default_batch_size) if windowed else None
+    # Windows keep a database's answers small. What Spark reads itself comes whole, in one commit: a window would be a top-n over all that is left.
+    windowed = windowed and hasattr(source, "dialect")
+    row_bytes = source.average_row_bytes(table) if windowed else None
+    rows = window_rows(config.target_memory_mb, row_bytes, config.default_batch_size) if windowed else None
     lake = LakeTable(spark, f"{config.root}/{table}")
     selected = [c.name for c in columns]
     have = lake.schema()
     if have is not None and mode in (INCREMENTAL, TWO_STREAM) and table not in config.reconcile:
         selected = evolved_columns(columns, have)
-    job = Job(spark, source, lake, config, table, columns, indexes, selected, rows, stop)
+    job = Job(spark, source, lake, config, table, columns, indexes, selected, rows, stop, row_bytes)
     if make:
         lake.ensure(job.schema())
     return job, ts, mode

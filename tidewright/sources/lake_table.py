@@ -114,7 +114,7 @@ class LakeTable:
         return adds
 
     def _listed(self, folder: str) -> list[tuple[str, int, int]]:
-        return [f for f in self.log.files.walk() if f[0].startswith(folder + "/") and f[0].endswith(".parquet")]
+        return [f for f in self.log.files.walk(folder) if f[0].endswith(".parquet")]
 
     # --- writing ---
 

@@ -16,7 +16,8 @@ def _done(lake: LakeTable, stream: str) -> int:
     """The last batch of `stream` that the table holds; -1 if none."""
     if not lake.exists():
         return -1
-    return max((int(said[BATCH]) for said in lake.log.history() if said.get(STREAM) == stream), default=-1)
+    # Batches are committed in order, so the newest commit of the stream has the last one.
+    return next((int(said[BATCH]) for said in lake.log.history() if said.get(STREAM) == stream), -1)
 
 
 def append_stream(rows: DataFrame, lake: LakeTable, ts: str, key: str, checkpoint: str, name: str) -> StreamingQuery:
