@@ -58,10 +58,16 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages one after the other over `documents`; what a stage returns is written and read again."""
     docs, before = table(spark, sf_dir, "documents"), None
-    for name, stage in STAGES[:-1]:
-        now = Scratch(spark, "stage-" + name.replace(" ", "-"))
-        docs = now.write(stage(spark, docs, sf_dir))
+    try:
+        for name, stage in STAGES[:-1]:
+            now = Scratch(spark, "stage-" + name.replace(" ", "-"))
+            try:
+                docs = now.write(stage(spark, docs, sf_dir))
+            finally:
+                if before:
+                    before.drop()
+                before = now
+        return STAGES[-1][1](spark, docs, sf_dir)  # packing is computed when it returns
+    finally:
         if before:
             before.drop()
-        before = now
-    return STAGES[-1][1](spark, docs, sf_dir)
