@@ -25,7 +25,7 @@ K1, B, SHARD = 1.2, 0.75, 2048
 #: Ids that are rows of a matrix at most, the part of the shard such an id is in at least, and postings added up at once.
 ROWS, PART, POSTINGS = 1024, 16, 1 << 20
 #: Documents whose terms are counted together, and bytes of texts that are encoded before they are handed on (a longer text is handed on alone).
-GROUP, STEP = 256, 8 << 20
+GROUP, STEP = 256, 4 << 20
 
 
 def counted(ids: list[np.ndarray], vocabulary: int):

@@ -20,9 +20,9 @@ import pyarrow.compute as pc
 from .common import worker_cache
 
 #: Pieces of each of the two generations of a worker's cache; longer pieces are never kept.
-CACHE_ENTRIES, CACHE_BYTES = 400_000, 48
+CACHE_ENTRIES, CACHE_BYTES = 250_000, 48
 #: Texts of about so many bytes are encoded together.
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 4 << 20
 #: Texts with white space besides blanks and line ends; these are encoded whole.
 ODD = "[\\t\\x0b\\x0c\\r\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
 #: What a tokenizer file says of the two kinds (fixed values of the formats).
@@ -101,24 +101,25 @@ class Ids:
 
             tokenizer = Tokenizer.from_file(path)
             tokenizer.encode_special_tokens = True
-            kind = self._kind(json.loads(tokenizer.to_str()))
+            kind = self._kind(tokenizer)
             light, edges = tokenizer, np.zeros(tokenizer.get_vocab_size(), bool)
             if kind:
-                light = self._light(Tokenizer.from_file(path), kind)
-                for token, i in tokenizer.get_vocab().items():
+                light = self._light(Tokenizer(tokenizer.model), kind)  # one model for both
+                for i in range(len(edges)):
+                    token = tokenizer.id_to_token(i) or ""
                     edges[i] = token.endswith("</w>") if kind == "word" else token.startswith("Ġ")
             state = kept.__dict__[("ids", path)] = [tokenizer, light, kind, edges, {}, {}]
         self.state = state
         self.tokenizer, self.light, self.kind, self.edges = state[:4]
 
     @staticmethod
-    def _kind(said: dict) -> str | None:
+    def _kind(tokenizer) -> str | None:
         """`word` (lower case, white space dropped), `byte` (blanks belong to the next word), or none of these."""
-        pre = said["pre_tokenizer"] or {}
-        if said["normalizer"] is None and pre.get("type") == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"]:
+        normal, pre = (json.loads(x.__getstate__()) if x is not None else {} for x in (tokenizer.normalizer, tokenizer.pre_tokenizer))
+        if not normal and pre.get("type") == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"]:
             return "byte"
         parts = pre.get("pretokenizers", ())
-        if said["normalizer"] == WORD_KIND["normalizer"] and len(parts) == 2 and parts[0].get("pattern") == {"Regex": WORD_KIND["split"]} and parts[0]["invert"] and parts[1].get("use_regex") is False and said["model"].get("end_of_word_suffix") == "</w>":
+        if normal == WORD_KIND["normalizer"] and len(parts) == 2 and parts[0].get("pattern") == {"Regex": WORD_KIND["split"]} and parts[0]["invert"] and parts[1].get("use_regex") is False and tokenizer.model.end_of_word_suffix == "</w>":
             return "word"
         return None
 
