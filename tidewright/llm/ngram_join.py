@@ -36,7 +36,7 @@ WORDS = 4
 #: Two sets link when 100 * intersection >= 85 * union.
 LIKE = (85, 100)
 #: Bytes of text that an index bucket stands for, and shingles that a task holds before it sends them.
-PER_BUCKET, HELD = 24 << 20, 4 << 20
+PER_BUCKET, HELD = 16 << 20, 2 << 20
 #: Shingles of the sets that one task searches; larger blocks are searched by pairs of tiles.
 GROUP = 1_000_000
 #: Sets that a set asks before the others of its block.
