@@ -23,13 +23,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import buckets_for, cut, group_arrow, map_arrow, own_names, table
+from .common import buckets_for, by_bytes, cut, group_arrow, map_arrow, own_names, table
 from .frequent import Frequent, frequent
 from .textnp import chunks, same_bytes, sliding_min, windows, word_bounds, word_hashes
 
 WINDOW, MINIMISER = 20, 3
 #: Bytes of text that one bucket stands for, and bytes of strings that a task holds before it sends them.
 PER_BUCKET, HELD = 8 << 20, 32 << 20
+#: Bytes of text whose words are kept or removed together.
+STEP = 4 << 20
 #: Stands for a null document id: after all others.
 LAST = (1 << 63) - 1
 
@@ -264,7 +266,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     place, marks = joined.columns.index(text_col), joined.columns.index(met)
 
     def keep(batches):
-        for batch in batches:
+        for batch in (part for b in batches for part in by_bytes(b, place, STEP)):
             counts, lost, kept = [], [], []
             said = batch.column(marks).to_pylist()
             for row, offsets, data in chunks(batch.column(place)):
