@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, by_bytes, cut, map_arrow
-from .tokens import Ids
+from .tokens import CACHE_ENTRIES, Ids
 
 WINDOW = 1024
 #: BM25's constants, and documents of a shard.
@@ -130,7 +130,7 @@ class Packer:
             seed = found if self.offset else None
 
 
-def pack_sequences(docs: DataFrame, tokenizer: str, vocabulary: int, end_id: int, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack_sequences(docs: DataFrame, tokenizer: str, vocabulary: int, end_id: int, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", entries: int = CACHE_ENTRIES, step: int = STEP) -> DataFrame:
     """Every id of every document in one piece of one sequence of `window` ids at most.
 
     Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
@@ -139,14 +139,15 @@ def pack_sequences(docs: DataFrame, tokenizer: str, vocabulary: int, end_id: int
     of documents by id; then each partition makes shards of SHARD documents, so
     memory is bounded and no text is shuffled. A task's last sequence alone is
     shorter than the window. Of neighbours that score alike the earlier one in the shard comes first.
+    `entries` (pieces that a worker's tokenizer remembers) and `step` (bytes of text encoded together) change memory, not results.
     """
     spark, width = docs.sparkSession, "<u2" if vocabulary <= 1 << 16 else "<u4"
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     made = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("df", pa.list_(pa.int64()))])
 
     def encode(batches):
-        encoder, df, n, total = Ids(tokenizer), np.zeros(vocabulary, np.int64), 0, 0
-        for batch in (part for b in batches for part in by_bytes(b, 1, STEP)):
+        encoder, df, n, total = Ids(tokenizer, entries), np.zeros(vocabulary, np.int64), 0, 0
+        for batch in (part for b in batches for part in by_bytes(b, 1, step)):
             ids = [np.append(x, np.uint32(end_id)) for x in encoder.batch(batch.column(1))]
             for keys, _ in counted(ids, vocabulary):
                 df[keys] += 1

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 
 from .common import worker_cache
 
-#: Pieces of each of the two generations of a worker's cache; longer pieces are never kept.
+#: Pieces of each of the two generations of a worker's cache, unless the caller says otherwise; longer pieces are never kept.
 CACHE_ENTRIES, CACHE_BYTES = 250_000, 48
 #: Texts of about so many bytes are encoded together.
 GROUP_BYTES = 4 << 20
@@ -90,7 +90,7 @@ class Ids:
     Strings of special tokens are ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, entries: int = CACHE_ENTRIES):
         kept = worker_cache()
         state = kept.__dict__.get(("ids", path))
         if state is None:
@@ -109,7 +109,7 @@ class Ids:
                     token = tokenizer.id_to_token(i) or ""
                     edges[i] = token.endswith("</w>") if kind == "word" else token.startswith("Ġ")
             state = kept.__dict__[("ids", path)] = [tokenizer, light, kind, edges, {}, {}]
-        self.state = state
+        self.state, self.entries = state, entries
         self.tokenizer, self.light, self.kind, self.edges = state[:4]
 
     @staticmethod
@@ -213,7 +213,7 @@ class Ids:
         lacking = [i for i, x in enumerate(found) if x is None]
         if not lacking:
             return found
-        if len(cache) > CACHE_ENTRIES:
+        if len(cache) > self.entries:
             self.state[4:] = cache, old = {}, cache
         got = {}
         for i in lacking:
