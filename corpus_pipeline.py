@@ -20,6 +20,8 @@ from tidewright.llm.substring import deduplicated_documents
 
 #: Near copies are documents whose sets of 5-word shingles are alike by 0.8 and more.
 SHINGLE_WORDS, LIKE = 5, (80, 100)
+#: Pieces that packing's tokenizer remembers and bytes of text that it encodes together: its workers live beside what earlier stages left.
+PIECES, STEP = 100_000, 2 << 20
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +46,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 1024 tokens."""
-    return pack_sequences(docs, public_tokenizers.path("byte_bpe_50k.json"), 50257, 0)
+    return pack_sequences(docs, public_tokenizers.path("byte_bpe_50k.json"), 50257, 0, entries=PIECES, step=STEP)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
